@@ -1,0 +1,34 @@
+"""Joins that stay even when one key owns a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 32
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: list[str],
+    how: str,
+    spread: list[str],
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi-join where ``big`` may hold a hot key.
+
+    ``small`` is repeated once per salt and every row of ``big`` looks up the
+    copy its ``spread`` columns hash to, so a hot key is shared by ``salts``
+    tasks. Below ``spark.sql.autoBroadcastJoinThreshold`` Catalyst broadcasts
+    ``small`` by its measured size; above it the salted shuffle carries the join.
+    ``spread`` hashes row content rather than drawing random numbers, so a task
+    that is run again puts every row where it was before.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported salted join: {how}")
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    salted_small = small.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    )
+    return salted_big.join(salted_small, [*on, "_salt"], how).drop("_salt")

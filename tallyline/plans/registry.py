@@ -20,7 +20,10 @@ from tallyline.streaming.pipeline import start_ingestion
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
-NOW = D.instant(D.EPOCH)
+
+
+def now():
+    return D.instant(D.EPOCH)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -58,7 +61,7 @@ def _orders(spark, sf_dir):
 
 def _parsed(spark, sf_dir):
     messages = D.envelope_messages(D.table(spark, sf_dir, "events"))
-    return envelope.parse_messages(messages, as_of=NOW)
+    return envelope.parse_messages(messages, as_of=now())
 
 
 # -- messages ----------------------------------------------------------------
@@ -155,7 +158,7 @@ def cdc_canonical(spark, sf_dir):
     rows = A.canonical_events(D.ledger_events(_orders(spark, sf_dir), defective=True))
     return rows.select(
         "kafka_topic", "kafka_partition", "kafka_offset", "operation", "source_system",
-        "source_record_id", "transaction_id", "amount_text", "amount", "currency", "status",
+        "source_record_id", "transaction_id", "amount", "currency", "status",
     )
 
 
@@ -179,7 +182,7 @@ def ledger_current_upsert(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     raw, marks = D.ledger_events(orders), D.half_way_checkpoints(orders)
     stored = D.ledger_of(D.seen_events(raw, marks))
-    return _ledger_columns(A.apply_events(raw, stored, marks, NOW).ledger)
+    return _ledger_columns(A.apply_events(raw, stored, marks, now()).ledger)
 
 
 @query
@@ -203,7 +206,7 @@ def cdc_rejects(spark, sf_dir):
     latest = A.latest_events(
         A.canonical_events(D.ledger_events(_orders(spark, sf_dir), defective=True))
     )
-    return A.rejected(latest, NOW).select(
+    return A.rejected(latest, now()).select(
         "source_system", "source_record_id", "is_deleted", "last_kafka_offset", "violation"
     )
 
@@ -223,7 +226,7 @@ def reconcile_results(spark, sf_dir):
 @query
 def reconcile_run_summary(spark, sf_dir):
     results = D.results(_orders(spark, sf_dir), run_id=7)
-    return R.run_summary(results, "book", "bank", 7, NOW, D.instant(D.EPOCH + 5))
+    return R.run_summary(results, "book", "bank", 7, now(), D.instant(D.EPOCH + 5))
 
 
 @query
@@ -239,7 +242,7 @@ def reconcile_evidence(spark, sf_dir):
 def reconcile_evidence_nested(spark, sf_dir):
     ledger = D.ledger(_orders(spark, sf_dir))
     nested = R.nested_evidence(
-        R.reconcile(ledger, "book", "bank", 1, NOW), R.evidence_rows(ledger, "book", "bank", 1)
+        R.reconcile(ledger, "book", "bank", 1, now()), R.evidence_rows(ledger, "book", "bank", 1)
     )
     shown = investigate.with_any_evidence(nested)
 
@@ -292,10 +295,10 @@ def result_replace(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     raw = D.ledger_events(orders)
     earlier = D.ledger_of(D.seen_events(raw, D.half_way_checkpoints(orders)))
-    current = R.reconcile(earlier, "book", "bank", 1, NOW).unionByName(
-        R.reconcile(earlier, "bank", "book", 2, NOW)
+    current = R.reconcile(earlier, "book", "bank", 1, now()).unionByName(
+        R.reconcile(earlier, "bank", "book", 2, now())
     )
-    fresh = R.reconcile(D.ledger(orders), "book", "bank", 3, NOW)
+    fresh = R.reconcile(D.ledger(orders), "book", "bank", 3, now())
     return _result_columns(R.replace_pair(current, fresh, "book", "bank"))
 
 
@@ -425,8 +428,8 @@ def _bundle(spark, sf_dir):
     raw, marks = _checkpointed(spark, sf_dir)
     dead = dedup.first_per_position(_parsed(spark, sf_dir).dead_letters())
     ledger = D.ledger(orders)
-    results = R.reconcile(ledger, "book", "bank", 1, NOW)
-    return metrics.metrics_bundle(raw, dead, ledger, results, D.runs(orders), marks, NOW)
+    results = R.reconcile(ledger, "book", "bank", 1, now())
+    return metrics.metrics_bundle(raw, dead, ledger, results, D.runs(orders), marks, now())
 
 
 @query
@@ -477,7 +480,7 @@ def results_page(spark, sf_dir):
 def results_page_evidence(spark, sf_dir):
     ledger = D.ledger(_orders(spark, sf_dir))
     page = investigate.results_page(
-        R.reconcile(ledger, "book", "bank", 1, NOW), result_type="DUPLICATE_RECORD", limit=100
+        R.reconcile(ledger, "book", "bank", 1, now()), result_type="DUPLICATE_RECORD", limit=100
     )
     evidence = investigate.page_evidence(page, R.evidence_rows(ledger, "book", "bank", 1))
     return evidence.select("transaction_id", "currency", "side", "source_record_id", "amount")
@@ -509,7 +512,7 @@ def transaction_investigation(spark, sf_dir):
     )
     ledger = D.ledger(orders)
     found = investigate.investigate_transactions(
-        ledger, R.reconcile(ledger, "book", "bank", 1, NOW), urgent.unionByName(strangers)
+        ledger, R.reconcile(ledger, "book", "bank", 1, now()), urgent.unionByName(strangers)
     )
 
     def part(df, section, first, second, status):

@@ -41,7 +41,13 @@ BAND = 10_000_000
 # Beyond so many Kafka partitions the literal pruning predicates are left out.
 MAX_LITERAL_PARTITIONS = 500
 
-_COMMITS = "commit bigint, appended array<string>, body string"
+_COMMITS = T.StructType(
+    [
+        T.StructField("commit", T.LongType()),
+        T.StructField("appended", T.ArrayType(T.StringType())),
+        T.StructField("body", T.StringType()),
+    ]
+)
 _APPENDED = {"runs": RUNS, "check_results": CHECK_RESULTS, "cdc_rejects": REJECTS}
 
 
@@ -67,7 +73,7 @@ class LedgerState:
     # -- commits ---------------------------------------------------------
 
     def _commits(self) -> DataFrame:
-        return self._read("_commits", T.StructType.fromDDL(_COMMITS))
+        return self._read("_commits", _COMMITS)
 
     def head(self) -> Commit:
         newest = self._commits().orderBy(F.desc("commit")).first()

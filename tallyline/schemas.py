@@ -42,71 +42,160 @@ LEDGER_KEY = ["source_system", "source_record_id"]
 RESULT_KEY = ["left_source_system", "right_source_system", "transaction_id", "currency"]
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+# Short names for the column types below.
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
+    "variant": T.VariantType(),
+    "amount": T.DecimalType(20, 4),
+}
+
+
+def _schema(**columns: str | T.DataType) -> T.StructType:
+    """Columns in order; a type name from ``_TYPES`` or a type per column."""
+    return T.StructType(
+        [T.StructField(n, _TYPES[t] if isinstance(t, str) else t) for n, t in columns.items()]
+    )
 
 
 # The Kafka source's own layout; file-based message streams use it too.
 MESSAGES = _schema(
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, headers array<struct<key:string,value:binary>>"
+    key="binary",
+    value="binary",
+    topic="string",
+    partition="int",
+    offset="bigint",
+    timestamp="timestamp",
+    headers=T.ArrayType(_schema(key="string", value="binary")),
 )
 
 RAW_EVENTS = _schema(
-    "kafka_topic string, kafka_partition int, kafka_offset bigint, consumer_group string, "
-    "kafka_timestamp timestamp, source_database string, source_schema string, "
-    "source_table string, operation string, event_timestamp timestamp, "
-    "source_timestamp timestamp, source_lsn string, source_tx_id string, "
-    "source_metadata variant, transaction_metadata variant, record_key variant, "
-    "before_payload variant, after_payload variant, payload variant, ingested_at timestamp"
+    kafka_topic="string",
+    kafka_partition="int",
+    kafka_offset="bigint",
+    consumer_group="string",
+    kafka_timestamp="timestamp",
+    source_database="string",
+    source_schema="string",
+    source_table="string",
+    operation="string",
+    event_timestamp="timestamp",
+    source_timestamp="timestamp",
+    source_lsn="string",
+    source_tx_id="string",
+    source_metadata="variant",
+    transaction_metadata="variant",
+    record_key="variant",
+    before_payload="variant",
+    after_payload="variant",
+    payload="variant",
+    ingested_at="timestamp",
 )
 
 DEAD_LETTERS = _schema(
-    "kafka_topic string, kafka_partition int, kafka_offset bigint, consumer_group string, "
-    "kafka_timestamp timestamp, record_key binary, record_value binary, "
-    "record_headers array<struct<name:string,value_base64:string>>, "
-    "error_class string, failure_reason string, failed_at timestamp"
+    kafka_topic="string",
+    kafka_partition="int",
+    kafka_offset="bigint",
+    consumer_group="string",
+    kafka_timestamp="timestamp",
+    record_key="binary",
+    record_value="binary",
+    record_headers=T.ArrayType(_schema(name="string", value_base64="string")),
+    error_class="string",
+    failure_reason="string",
+    failed_at="timestamp",
 )
 
 LEDGER = _schema(
-    f"source_system string, source_record_id string, transaction_id string, amount {AMOUNT}, "
-    "currency string, status string, is_deleted boolean, source_event_timestamp timestamp, "
-    "source_database string, source_schema string, source_table string, "
-    "last_kafka_topic string, last_kafka_partition int, last_kafka_offset bigint, "
-    "last_source_lsn string, last_cdc_event_timestamp timestamp, source_payload string, "
-    "refreshed_at timestamp"
+    source_system="string",
+    source_record_id="string",
+    transaction_id="string",
+    amount="amount",
+    currency="string",
+    status="string",
+    is_deleted="boolean",
+    source_event_timestamp="timestamp",
+    source_database="string",
+    source_schema="string",
+    source_table="string",
+    last_kafka_topic="string",
+    last_kafka_partition="int",
+    last_kafka_offset="bigint",
+    last_source_lsn="string",
+    last_cdc_event_timestamp="timestamp",
+    source_payload="string",
+    refreshed_at="timestamp",
 )
 
 CHECKPOINTS = _schema(
-    "kafka_topic string, kafka_partition int, last_kafka_offset bigint, updated_at timestamp"
+    kafka_topic="string",
+    kafka_partition="int",
+    last_kafka_offset="bigint",
+    updated_at="timestamp",
 )
 
 RUNS = _schema(
-    "run_id bigint, left_source_system string, right_source_system string, "
-    "started_at timestamp, completed_at timestamp, status string, total_result_count bigint, "
-    "match_count bigint, missing_record_count bigint, amount_mismatch_count bigint, "
-    "status_mismatch_count bigint, duplicate_record_count bigint, error_message string"
+    run_id="bigint",
+    left_source_system="string",
+    right_source_system="string",
+    started_at="timestamp",
+    completed_at="timestamp",
+    status="string",
+    total_result_count="bigint",
+    match_count="bigint",
+    missing_record_count="bigint",
+    amount_mismatch_count="bigint",
+    status_mismatch_count="bigint",
+    duplicate_record_count="bigint",
+    error_message="string",
 )
 
 RESULTS = _schema(
-    "run_id bigint, left_source_system string, right_source_system string, "
-    "transaction_id string, currency string, result_type string, left_record_count bigint, "
-    f"right_record_count bigint, left_amount {AMOUNT}, right_amount {AMOUNT}, "
-    "left_status string, right_status string, reconciled_at timestamp"
+    run_id="bigint",
+    left_source_system="string",
+    right_source_system="string",
+    transaction_id="string",
+    currency="string",
+    result_type="string",
+    left_record_count="bigint",
+    right_record_count="bigint",
+    left_amount="amount",
+    right_amount="amount",
+    left_status="string",
+    right_status="string",
+    reconciled_at="timestamp",
 )
 
 # One row per contributing record and side. A single (transaction, currency)
 # may own a third of the ledger, so evidence is rows, never one array per result.
 EVIDENCE = _schema(
-    "run_id bigint, left_source_system string, right_source_system string, "
-    "transaction_id string, currency string, side string, source_record_id string, "
-    f"amount {AMOUNT}, status string, source_event_timestamp timestamp, kafka_topic string, "
-    "kafka_partition int, kafka_offset bigint, source_lsn string, source_payload string"
+    run_id="bigint",
+    left_source_system="string",
+    right_source_system="string",
+    transaction_id="string",
+    currency="string",
+    side="string",
+    source_record_id="string",
+    amount="amount",
+    status="string",
+    source_event_timestamp="timestamp",
+    kafka_topic="string",
+    kafka_partition="int",
+    kafka_offset="bigint",
+    source_lsn="string",
+    source_payload="string",
 )
 
 CHECK_RESULTS = _schema(
-    "executed_at timestamp, check_name string, status string, affected_row_count bigint, "
-    "details struct<description:string,stale_after_seconds:int>"
+    executed_at="timestamp",
+    check_name="string",
+    status="string",
+    affected_row_count="bigint",
+    details=_schema(description="string", stale_after_seconds="int"),
 )
 
 REJECTS = T.StructType([*LEDGER.fields, T.StructField("violation", T.StringType())])

@@ -62,27 +62,33 @@ def is_object(value: str) -> str:
     return f"({members(value, '_')} is not null)"
 
 
-def is_missing(value: str) -> str:
-    """Absent or JSON null."""
-    return f"({value} is null or is_variant_null({value}))"
-
-
-def is_text(value: str) -> str:
-    return f"coalesce(schema_of_variant({value}) = 'STRING', false)"
+def shape(value: str) -> str:
+    """'missing' (absent or JSON null), 'object' or 'other'."""
+    return f"""case when {value} is null or is_variant_null({value}) then 'missing'
+                    when {is_object(value)} then 'object' else 'other' end"""
 
 
 def as_text(value: str) -> str:
     return f"try_variant_get({value}, '$', 'string')"
 
 
-def epoch_millis(value: str) -> str:
-    """Timestamp of a JSON number of epoch milliseconds, fractions kept to the
-    microsecond; NULL if it is no number or lies outside years 1 to 9999."""
-    kind = f"schema_of_variant({value})"
-    millis = f"try_variant_get({value}, '$', 'decimal(18,3)')"
+def string_of(value: str) -> str:
+    """Content of a JSON string; NULL for any other kind of value."""
+    return f"case when schema_of_variant({value}) = 'STRING' then {as_text(value)} end"
+
+
+def number_of(value: str) -> str:
+    """A JSON number as decimal(18,3); NULL for other kinds and beyond 10^15."""
+    return f"""case when schema_of_variant({value}) in ('BIGINT', 'DOUBLE', 'FLOAT')
+                      or schema_of_variant({value}) like 'DECIMAL%'
+                    then try_variant_get({value}, '$', 'decimal(18,3)') end"""
+
+
+def instant_of_millis(millis: str) -> str:
+    """Timestamp of epoch milliseconds, fractions kept to the microsecond; NULL
+    outside years 1 to 9999."""
     # 0001-01-01 and 9999-12-31T23:59:59.999 in epoch milliseconds.
-    return f"""case when ({kind} in ('BIGINT', 'DOUBLE', 'FLOAT') or {kind} like 'DECIMAL%')
-                     and {millis} between -62135596800000 and 253402300799999
+    return f"""case when {millis} between -62135596800000 and 253402300799999
                     then timestamp_micros(cast({millis} * 1000 as bigint)) end"""
 
 
@@ -94,7 +100,7 @@ def python_repr(value: str) -> str:
         r"'\r', r'\r'), '\t', r'\t')"
     )
     return rf"""case
-        when {is_missing(value)} then 'None'
+        when {value} is null or is_variant_null({value}) then 'None'
         when schema_of_variant({value}) = 'STRING' then
             case when contains({text}, "'") and not contains({text}, '"')
                  then concat('"', {escaped}, '"')

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.json_text import settle
 from tallyline.operators.apply import canonical_events, latest_events, storable
 from tallyline.operators.reconcile import reconcile
 from tallyline.schemas import AMOUNT, LEDGER, RAW_EVENTS, RUNS
@@ -85,7 +84,7 @@ def ledger_events(orders: DataFrame, defective: bool = False) -> DataFrame:
         )
     )
     nothing = "parse_json('null')"
-    shaped = rows.selectExpr(
+    return rows.selectExpr(
         f"'{TOPIC}' as kafka_topic",
         "cast(k % 3 as int) as kafka_partition",
         "k * 4 + slot as kafka_offset",
@@ -106,8 +105,7 @@ def ledger_events(orders: DataFrame, defective: bool = False) -> DataFrame:
         f"if(operation = 'DELETE', {nothing}, image_json) as after_payload",
         f"{nothing} as payload",
         f"timestamp_seconds({EPOCH} + k % 1000) as ingested_at",
-    )
-    return settle(shaped, "record_key", "before_payload", "after_payload").select(*RAW_EVENTS.names)
+    ).select(*RAW_EVENTS.names)
 
 
 def _image(defective: bool) -> str:

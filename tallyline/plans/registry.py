@@ -123,11 +123,9 @@ def marker_exactly_once(spark, sf_dir):
 @query
 def stream_ingest(spark, sf_dir):
     events = D.table(spark, sf_dir, "events")
-    stream = (
-        spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    # A stream takes no single file as its path; the pattern matches the table
+    # whether it is one file or a folder of files.
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
     folder = shared_folder(spark, "ingest")
     state = LedgerState(spark, f"{folder}/state")
     running = start_ingestion(D.envelope_messages(stream), state, f"{folder}/progress")

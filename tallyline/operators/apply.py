@@ -15,6 +15,12 @@ from tallyline.schemas import CHECKPOINTS, LEDGER, LEDGER_KEY, PARTITION_KEY
 
 _IDENTITY = ("source_system", "source_record_id", "transaction_id")
 _VALUES = ("amount", "currency", "status")
+_ORDER = (
+    "last_cdc_event_timestamp",
+    "last_kafka_topic",
+    "last_kafka_partition",
+    "last_kafka_offset",
+)
 
 
 def unseen_events(raw: DataFrame, checkpoints: DataFrame) -> DataFrame:
@@ -131,6 +137,16 @@ def rejected(latest: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def newest_records(records: DataFrame) -> DataFrame:
+    """One ledger row per key out of several layers of rows: the one with the
+    latest (event time, topic, partition, offset), of equals the one stored first."""
+    newest = W.partitionBy(*LEDGER_KEY).orderBy(
+        *[F.desc(c) for c in _ORDER], F.asc("refreshed_at")
+    )
+    ranked = records.withColumn("_rank", F.row_number().over(newest))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
+
+
 def upsert_ledger(ledger: DataFrame, incoming: DataFrame) -> DataFrame:
     """Insert new keys; replace a stored row only by one with a later
     (event time, topic, partition, offset).
@@ -138,16 +154,10 @@ def upsert_ledger(ledger: DataFrame, incoming: DataFrame) -> DataFrame:
     Both sides hold each key once, so the join has no hot key; ``incoming``
     arrives from :func:`latest_events` already partitioned and sorted by it.
     """
-    order = (
-        "last_cdc_event_timestamp",
-        "last_kafka_topic",
-        "last_kafka_partition",
-        "last_kafka_offset",
-    )
     old, new = ledger.alias("old"), incoming.alias("new")
 
     def side(name: str) -> list[Column]:
-        return [F.col(f"{name}.{c}") for c in order]
+        return [F.col(f"{name}.{c}") for c in _ORDER]
 
     matched = old.join(
         new, [F.col(f"old.{c}") == F.col(f"new.{c}") for c in LEDGER_KEY], "full_outer"

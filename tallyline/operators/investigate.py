@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyline.functions.skew import salted_join
@@ -18,10 +19,13 @@ from tallyline.schemas import (
     RUN_STATUSES,
     RUNS,
 )
+from tallyline.session import shared_folder
 
 # Page size limits.
 DEFAULT_LIMIT = 50
 MAX_LIMIT = 200
+# Beyond this offset a page is cut from a sorted table.
+FAR_OFFSET = 10_000
 
 
 @dataclass(frozen=True)
@@ -46,15 +50,36 @@ def matching(df: DataFrame, equal: dict[str, object]) -> DataFrame:
 
 
 def page_of(df: DataFrame, order: list[Column], limit: int, offset: int) -> Page:
-    """The requested slice (a bounded top-k, not a full sort) and the total."""
+    """The requested slice and the total.
+
+    Near the start this is a bounded top-k. That operator keeps all rows before
+    the slice too, so a far offset is served from a sorted table instead.
+    """
     if not 1 <= limit <= MAX_LIMIT or offset < 0:
         raise ValueError(f"limit must be 1..{MAX_LIMIT} and offset not negative")
-    return Page(
-        df.orderBy(*order).offset(offset).limit(limit),
-        df.agg(F.count(F.lit(1)).alias("total")),
-        limit,
-        offset,
+    total = df.agg(F.count(F.lit(1)).alias("total"))
+    if offset > FAR_OFFSET:
+        return Page(_far_slice(df, order, limit, offset), total, limit, offset)
+    return Page(df.orderBy(*order).offset(offset).limit(limit), total, limit, offset)
+
+
+def _far_slice(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of the sorted table, whose partitions
+    are counted to tell where the slice lies."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, "sorted-page")
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_row": within}).write.parquet(
+        folder
     )
+    rows = spark.read.parquet(folder)
+    # One row per sort partition.
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_row")
+    inside = (place >= offset) & (place < offset + limit)
+    return rows.join(starts, "_part").where(inside).select(*df.columns).orderBy(*order)
 
 
 def runs_page(

@@ -16,7 +16,7 @@ from tallyline.plans import derived as D
 from tallyline.plans.state import LedgerState
 from tallyline.session import configure, shared_folder
 from tallyline.sources.messages import event_lines
-from tallyline.streaming.pipeline import start_ingestion
+from tallyline.streaming.ingestion import start_ingestion
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.operators.apply import newest_records
 from tallyline.operators.dedup import absent_rows, first_per_position
 from tallyline.schemas import (
     CHECK_RESULTS,
@@ -58,14 +59,17 @@ class Commit:
     number: int = 0
     last_run_id: int = 0
     checkpoints: int | None = None
-    ledger: dict[str, int] = field(default_factory=dict)  # bucket -> commit
+    ledger: dict[str, list[int]] = field(default_factory=dict)  # bucket -> layers, oldest first
     results: list[list] = field(default_factory=list)  # [left, right, commit]
 
 
 class LedgerState:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, layers: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
+        # An apply step adds a layer of changed records to the buckets it touches
+        # and merges a bucket that already has this many.
+        self.layers = layers
         # Fixed for the life of a root; size it so that a bucket holds a few
         # gigabytes of current records.
         self.buckets = buckets
@@ -125,11 +129,21 @@ class LedgerState:
 
     def ledger(self, head: Commit, buckets: list[int] | None = None) -> DataFrame:
         """Current records, of all buckets or of some."""
-        chosen = head.ledger if buckets is None else {
-            str(b): head.ledger[str(b)] for b in buckets if str(b) in head.ledger
-        }
-        folders = [f"commit={c}/bucket={b}" for b, c in chosen.items()]
-        return self._read("ledger_current", LEDGER, folders).select(*LEDGER.names)
+        names = head.ledger if buckets is None else [str(b) for b in buckets]
+        chosen = {b: head.ledger[b] for b in names if b in head.ledger}
+
+        def rows(layered: bool) -> DataFrame:
+            folders = [
+                f"commit={c}/bucket={b}"
+                for b, commits in chosen.items()
+                if (len(commits) > 1) == layered
+                for c in commits
+            ]
+            return self._read("ledger_current", LEDGER, folders).select(*LEDGER.names)
+
+        if all(len(commits) == 1 for commits in chosen.values()):
+            return rows(False)
+        return rows(False).unionByName(newest_records(rows(True)))
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*LEDGER_KEY), F.lit(self.buckets)).cast("int")
@@ -184,20 +198,33 @@ class LedgerState:
         stored = self._positioned(table, schema)
         touched = (
             rows.groupBy(*PARTITION_KEY)
-            .agg(F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high"))
+            .agg(
+                F.min("kafka_offset").alias("low"),
+                F.max("kafka_offset").alias("high"),
+                F.count(F.lit(1)).alias("n"),
+                F.count_distinct("kafka_offset").alias("positions"),
+            )
             .limit(MAX_LITERAL_PARTITIONS + 1)
             .collect()
         )
         if not touched:
             return
-        if len(touched) <= MAX_LITERAL_PARTITIONS:
+        if len(touched) > MAX_LITERAL_PARTITIONS:
+            fresh = absent_rows(rows, stored)
+        else:
+            # The usual batch repeats nothing and lies beyond all stored offsets;
+            # then its rows need no shuffle to be compared.
+            repeats = any(t["n"] != t["positions"] for t in touched)
+            fresh = first_per_position(rows) if repeats else rows
             stored = stored.where(_any_of([
                 _at(t) & F.col("band").between(t["low"] // BAND, t["high"] // BAND)
                 for t in touched
             ]))
+            overlap = _any_of([_at(t) & (F.col("kafka_offset") >= t["low"]) for t in touched])
+            if not stored.where(overlap).isEmpty():
+                fresh = absent_rows(rows, stored)
         fresh = (
-            absent_rows(first_per_position(rows), stored)
-            .withColumn("band", F.floor(F.col("kafka_offset") / BAND).cast("bigint"))
+            fresh.withColumn("band", F.floor(F.col("kafka_offset") / BAND).cast("bigint"))
             .hint("rebalance", *PARTITION_KEY, "band")
             .sortWithinPartitions(*PARTITION_KEY, "kafka_offset")
         )

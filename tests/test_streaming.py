@@ -8,7 +8,7 @@ from tallyline.plans import jobs
 from tallyline.plans.state import LedgerState
 from tallyline.schemas import MESSAGES
 from tallyline.sources.messages import file_stream, read_messages
-from tallyline.streaming import pipeline
+from tallyline.streaming import ingestion
 
 # Of 1,000 events those whose id modulo 16 is 1 to 8 are malformed.
 DEAD = sum(1 <= n % 16 <= 8 for n in range(1000))
@@ -24,7 +24,7 @@ def inbox(spark, sf, tmp_path_factory):
 
 
 def run(spark, inbox, state, progress):
-    query = pipeline.start_ingestion(file_stream(spark, inbox, 1), state, progress)
+    query = ingestion.start_ingestion(file_stream(spark, inbox, 1), state, progress)
     query.awaitTermination()
 
 
@@ -76,7 +76,7 @@ def test_stream_applies_ledger_events(spark, sf, tmp_path):
     for low, high in ((0, 2000), (2000, 9999)):
         messages.where(f"offset >= {low} and offset < {high}").coalesce(1).write.mode("append").parquet(folder)
     state = LedgerState(spark, str(tmp_path / "state"), buckets=4)
-    pipeline.start_ingestion(
+    ingestion.start_ingestion(
         file_stream(spark, folder, 1), state, str(tmp_path / "progress"), apply=True
     ).awaitTermination()
     columns = ["source_system", "source_record_id", "transaction_id", "amount", "currency", "status",

@@ -47,30 +47,31 @@ def canonical_events(unseen: DataFrame) -> DataFrame:
 
     def member(name: str) -> str:
         # SQL NULL is an absent member; a JSON null in the image still wins.
-        return f"""'{name}', coalesce(try_variant_get(image, '$.{name}', 'variant'),
-                                      try_variant_get(record_key, '$.{name}', 'variant'))"""
+        return f"""coalesce(try_variant_get(image, '$.{name}', 'variant'),
+                            try_variant_get(record_key, '$.{name}', 'variant')) as member_{name}"""
 
     def present(names: tuple[str, ...]) -> str:
-        return " and ".join(f"record.{n} is not null" for n in names)
+        return " and ".join(f"member_{n} is not null" for n in names)
+
+    def text(name: str) -> str:
+        return f"cast(member_{name} as string)"
 
-    record = ", ".join(member(n) for n in (*_IDENTITY, *_VALUES, "updated_at"))
     rows = (
         unseen.selectExpr("*", image)
-        .selectExpr("*", f"named_struct({record}) as record")
+        .selectExpr("*", *[member(n) for n in (*_IDENTITY, *_VALUES, "updated_at")])
         .selectExpr(
             *unseen.columns,
             "image",
             f"{present(_IDENTITY)} and (operation = 'DELETE' or ({present(_VALUES)})) as eligible",
-            *[f"cast(record.{n} as string) as {n}" for n in _IDENTITY],
-            "cast(record.amount as string) as amount_text",
-            "upper(nullif(cast(record.currency as string), '')) as currency",
-            "upper(nullif(cast(record.status as string), '')) as status",
-            "cast(record.updated_at as string) as updated_at_text",
+            *[f"{text(n)} as {n}" for n in _IDENTITY],
+            f"{text('amount')} as amount_text",
+            f"upper(nullif({text('currency')}, '')) as currency",
+            f"upper(nullif({text('status')}, '')) as status",
+            f"{text('updated_at')} as updated_at_text",
         )
     )
-    settled = J.settle(
-        rows, "image", "eligible", *_IDENTITY, "amount_text", "currency", "status", "updated_at_text"
-    )
+    # Only what the filter reads is settled, so that unused columns stay prunable.
+    settled = J.settle(rows, "eligible", *_IDENTITY)
     named = " and ".join(f"{n} <> ''" for n in _IDENTITY)
     return (
         settled.where(f"eligible and {named}")

@@ -82,7 +82,7 @@ def reconcile_frames(
 
     def part(df: DataFrame, is_left: bool, value: Column, state: Column | None) -> DataFrame:
         state = F.lit(None).cast("string") if state is None else state
-        return df.where(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) == F.lit(False)).select(
+        return df.dropna(subset=keys).select(
             *keys, value.alias("amount"), state.alias("status"), F.lit(is_left).alias("is_left")
         )
 

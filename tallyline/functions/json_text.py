@@ -30,13 +30,15 @@ def with_strict_json(df: DataFrame, text: str, out: str) -> DataFrame:
     digest, which the text cannot contain: if the digest does not come back as
     element 1, something other than exactly one document was there.
 
-    A NUL escape is valid JSON, but no stored text could hold it, so such a text
-    counts as invalid.
+    Escapes of NUL and of half a surrogate pair are valid JSON, but no stored text
+    could hold them, so such a text counts as invalid.
     """
-    nul_escape = r"r'(?<!\\)(\\\\)*\\u0000'"
-    checked = (
-        rf"is_valid_utf8({text}) and not (contains({text}, r'\u0000') and {text} rlike {nul_escape})"
-    )
+    # Without escaped backslashes and whole pairs, what is left of these is lone.
+    bare = rf"replace({text}, r'\\', ' ')"
+    pair = r"r'\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}'"
+    unstorable = rf"""contains({text}, r'\u') and (contains({bare}, r'\u0000')
+        or regexp_replace({bare}, {pair}, ' ') rlike r'\\u[dD][89a-fA-F]')"""
+    checked = f"is_valid_utf8({text}) and not ({unstorable})"
     probe = f"_{out}_probe"
     return df.selectExpr(
         "*",

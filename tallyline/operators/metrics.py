@@ -109,13 +109,15 @@ def metrics_bundle(
     runs: DataFrame,
     checkpoints: DataFrame,
     observed_at: Column,
+    newest_raw: DataFrame | None = None,
 ) -> MetricsBundle:
-    """Summary row with the class counts as a map, plus the lag table."""
+    """Summary row with the class counts as a map, plus the lag table, for which
+    ``newest_raw`` may stand in for all raw events."""
     classes = result_counts(results).agg(
         F.map_from_entries(F.collect_list(F.struct("result_type", "result_count"))).alias("m")
     )
     summary = reliability_summary(raw, dead_letters, ledger, runs, observed_at)
     return MetricsBundle(
         summary.withColumn("reconciliation_result_counts", classes.scalar()),
-        checkpoint_lag(raw, checkpoints).orderBy(*PARTITION_KEY),
+        checkpoint_lag(raw if newest_raw is None else newest_raw, checkpoints).orderBy(*PARTITION_KEY),
     )

@@ -176,22 +176,31 @@ class LedgerState:
     def dead_letters(self) -> DataFrame:
         return self._positioned("cdc_dead_letters", DEAD_LETTERS).select(*DEAD_LETTERS.names)
 
-    def unprocessed_raw(self, head: Commit) -> DataFrame:
-        """Raw events without the folders that lie wholly below the checkpoints.
-
-        A superset of the unseen events: :func:`unseen_events` decides.
-        """
+    def _pruned_raw(self, head: Commit, processed_too: bool) -> DataFrame:
         rows = self._positioned("raw_cdc_events", RAW_EVENTS)
         marks = self.checkpoints(head).limit(MAX_LITERAL_PARTITIONS + 1).collect()
         if 0 < len(marks) <= MAX_LITERAL_PARTITIONS:
             rows = rows.where(~_any_of([
                 _at(m) & (F.col("band") < m["last_kafka_offset"] // BAND) for m in marks
             ]))
-            lowest = min(m["last_kafka_offset"] for m in marks)
-            known = _any_of([_at(m) for m in marks])
-            rows = rows.where(~known | (F.col("kafka_offset") > lowest))
+            if not processed_too:
+                lowest = min(m["last_kafka_offset"] for m in marks)
+                known = _any_of([_at(m) for m in marks])
+                rows = rows.where(~known | (F.col("kafka_offset") > lowest))
         return rows.select(*RAW_EVENTS.names)
 
+    def unprocessed_raw(self, head: Commit) -> DataFrame:
+        """Raw events without the folders that lie wholly below the checkpoints.
+
+        A superset of the unseen events: :func:`unseen_events` decides.
+        """
+        return self._pruned_raw(head, processed_too=False)
+
+    def newest_raw(self, head: Commit) -> DataFrame:
+        """Raw events from each checkpoint's folder on. A checkpoint is an offset
+        that was stored, so every partition's newest event is among them."""
+        return self._pruned_raw(head, processed_too=True)
+
     def append_absent(self, rows: DataFrame, table: str) -> None:
         """Insert-if-absent by position; repeating it changes nothing."""
         schema = {"raw_cdc_events": RAW_EVENTS, "cdc_dead_letters": DEAD_LETTERS}[table]

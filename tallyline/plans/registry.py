@@ -13,6 +13,7 @@ from tallyline.operators import apply as A
 from tallyline.operators import dedup, envelope, investigate, metrics, quality
 from tallyline.operators import reconcile as R
 from tallyline.plans import derived as D
+from tallyline.plans import jobs
 from tallyline.plans.state import LedgerState
 from tallyline.session import configure, shared_folder
 from tallyline.sources.messages import event_lines
@@ -183,6 +184,15 @@ def ledger_current_upsert(spark, sf_dir):
     return _ledger_columns(A.apply_events(raw, stored, marks, now()).ledger)
 
 
+@query
+def ledger_current_layers(spark, sf_dir):
+    orders = _orders(spark, sf_dir)
+    raw, marks = D.ledger_events(orders), D.half_way_checkpoints(orders)
+    stored = D.ledger_of(D.seen_events(raw, marks))
+    changed = D.ledger_of(A.unseen_events(raw, marks))
+    return _ledger_columns(A.newest_records(stored.unionByName(changed)))
+
+
 @query
 def cdc_checkpoints_advance(spark, sf_dir):
     orders = _orders(spark, sf_dir)
@@ -300,6 +310,20 @@ def result_replace(spark, sf_dir):
     return _result_columns(R.replace_pair(current, fresh, "book", "bank"))
 
 
+@query
+def state_reconciliation(spark, sf_dir):
+    """The jobs over stored tables: append and apply in two steps, the second of
+    which repeats the first one's events, then reconcile."""
+    orders = _orders(spark, sf_dir)
+    raw = D.ledger_events(orders)
+    state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
+    for part in (D.seen_events(raw, D.half_way_checkpoints(orders)), raw):
+        state.append_absent(part, "raw_cdc_events")
+        jobs.process_new_cdc_events(state)
+    jobs.run_reconciliation(state, "book", "bank")
+    return _result_columns(state.results(state.head()))
+
+
 def _unassigned_results(orders):
     day = F.col("run_id")
     k = F.substring("transaction_id", 4, 20).cast("bigint")
@@ -474,6 +498,12 @@ def results_page(spark, sf_dir):
         investigate.without_evidence(page.items), page.total, page.limit, page.offset))
 
 
+@query
+def results_page_far(spark, sf_dir):
+    page = investigate.results_page(D.results(_orders(spark, sf_dir)), limit=150, offset=10_500)
+    return _with_total(page).drop("reconciled_at")
+
+
 @query
 def results_page_evidence(spark, sf_dir):
     ledger = D.ledger(_orders(spark, sf_dir))

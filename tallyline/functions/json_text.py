@@ -123,7 +123,8 @@ def merged_text(base: str, overlay: str) -> str:
 
     def as_map(value: str) -> str:
         kind = "'map<string,variant>'"
-        return f"coalesce(try_variant_get({value}, '$', {kind}), variant_get(parse_json('{{}}'), '$', {kind}))"
+        empty = f"variant_get(parse_json('{{}}'), '$', {kind})"
+        return f"coalesce(try_variant_get({value}, '$', {kind}), {empty})"
 
     kept = f"map_filter({as_map(base)}, (k, v) -> not map_contains_key({as_map(overlay)}, k))"
     return f"to_json(map_concat({kept}, {as_map(overlay)}))"

@@ -39,7 +39,6 @@ AMOUNT = "decimal(20,4)"
 PARTITION_KEY = ["kafka_topic", "kafka_partition"]
 POSITION = [*PARTITION_KEY, "kafka_offset"]
 LEDGER_KEY = ["source_system", "source_record_id"]
-RESULT_KEY = ["left_source_system", "right_source_system", "transaction_id", "currency"]
 
 
 # Short names for the column types below.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -45,11 +48,18 @@ def local_session(cores: str = "*", memory: str = "8g", **extra: str) -> SparkSe
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Where that is unset, a session of one machine uses a folder that goes with the process.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallyline-")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _own_folder() -> str:
+    root = tempfile.mkdtemp(prefix="tallyline-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root

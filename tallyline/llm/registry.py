@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import token_output
+from tallyline.llm import byte_bpe, token_output
 from tallyline.llm.storage import table
 
 
@@ -22,8 +22,15 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, files).drop("ids")
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by byte-level BPE ranks and decoded again."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_files": op2_token_files}
+    return {"op2_token_files": op2_token_files, "op8_byte_bpe": op8_byte_bpe}
 
 
 def all_oracles() -> dict[str, str]:

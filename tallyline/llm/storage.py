@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.session import shared_folder
 
@@ -14,5 +16,15 @@ def stored(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder."""
+    show_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package from where the driver did."""
+    root = str(Path(__file__).parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{paths}:{root}".strip(":")

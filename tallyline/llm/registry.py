@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, token_output
-from tallyline.llm.storage import table
+from tallyline.llm import byte_bpe, chat_format, token_output
+from tallyline.llm.storage import stored, table
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,15 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, files).drop("ids")
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that holds control strings, formatted, stored and read back."""
+    text = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], rows.schema)
+    messages = rows.unionByName(extra).withColumn("parts", chat_format.text_parts(F.col("text")))
+    return chat_format.digests(stored(chat_format.format_turns(messages), "chat"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by byte-level BPE ranks and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,7 +40,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_files": op2_token_files, "op8_byte_bpe": op8_byte_bpe}
+    return {
+        "op2_token_files": op2_token_files,
+        "op3_chat_format": op3_chat_format,
+        "op8_byte_bpe": op8_byte_bpe,
+    }
 
 
 def all_oracles() -> dict[str, str]:

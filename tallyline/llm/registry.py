@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, chat_format, token_output
+from tallyline.llm import byte_bpe, chat_format, ordinal_quality, token_output
 from tallyline.llm.storage import stored, table
 
 
@@ -32,6 +32,13 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(stored(chat_format.format_turns(messages), "chat"))
 
 
+def op7_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, and the probability of the best grade, of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal_quality.train(docs, ordinal_quality.label_grades(table(spark, sf_dir, "labels")))
+    return ordinal_quality.score(docs, model, tail=2)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by byte-level BPE ranks and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,6 +50,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
         "op3_chat_format": op3_chat_format,
+        "op7_quality_grades": op7_quality_grades,
         "op8_byte_bpe": op8_byte_bpe,
     }
 

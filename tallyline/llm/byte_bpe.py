@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.text_arrays import WHITE, groups, mixed, range_hashes, text_bytes
 
-ENCODED = "doc_id long, n_tokens long, ids binary"
+ENCODED = "doc_id long, n_tokens long, ids array<int>"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -175,13 +175,6 @@ class Encoder:
         self.whole = PerfectHash(ranks)
         self.parts = BytePairs(ranks)
         self.split = regex.compile(pattern)
-        self.token = {rank: key for key, rank in ranks.items()}
-        sizes = np.zeros(max(ranks.values()) + 1, np.int64)
-        for rank, key in self.token.items():
-            sizes[rank] = len(key)
-        self.token_size = sizes
-        self.token_first = np.cumsum(sizes) - sizes
-        self.token_bytes = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(len(sizes))), np.uint8)
         self.most = most
         self._clear()
 
@@ -234,28 +227,38 @@ class Encoder:
         source = np.repeat(self.first[place][which] - upto[:-1], count) + np.arange(upto[-1])
         return self.ids[source], upto[firsts]
 
+
+class Decoder:
+    """Bytes of ids."""
+
+    def __init__(self, path: str):
+        token = {rank: key for key, rank in load_ranks(path).items()}
+        self.size = np.array([len(token.get(i, b"")) for i in range(max(token) + 1)], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(token.get(i, b"") for i in range(len(self.size))), np.uint8)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of `ids`."""
-        size = self.token_size[ids]
+        size = self.size[ids]
         upto = np.cumsum(size)
         if not len(ids):
             return b""
-        source = np.repeat(self.token_first[ids] - upto + size, size) + np.arange(upto[-1])
-        return self.token_bytes[source].tobytes()
+        source = np.repeat(self.first[ids] - upto + size, size) + np.arange(upto[-1])
+        return self.bytes[source].tobytes()
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_TOOLS: dict[tuple, Encoder | Decoder] = {}
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """The encoder of this Python worker, which keeps its pieces from task to task."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+def _tool(kind: type, *made_of: str):
+    """The tool of this Python worker; an encoder keeps its pieces from task to task."""
+    if (kind, *made_of) not in _TOOLS:
+        _TOOLS[kind, *made_of] = kind(*made_of)
+    return _TOOLS[kind, *made_of]
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the ids of each whole text as 4-byte little-endian integers.
+    """(doc_id, n_tokens, ids) of each whole text.
 
     `ranks` is the path of a rank file, a local path that all executors have. A null text counts
     as empty and has no ids; null or repeated document ids stay as they are, each row on its own;
@@ -263,56 +266,43 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(ranks, pattern)
+        tool = _tool(Encoder, ranks, pattern)
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
-            for a, b in groups(bounds):
+            for a, b in groups(bounds, 2 << 20):
                 ids, firsts = tool.encode(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                raw = ids.astype("<u4").tobytes()
+                lists = pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(a, b - a).cast(pa.int64()),
-                        pa.array(np.diff(firsts), pa.int64()),
-                        pa.array([raw[4 * x : 4 * y] for x, y in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary()),
-                    ],
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(firsts), pa.int64()), lists],
                     names=["doc_id", "n_tokens", "ids"],
                 )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ENCODED)
 
 
-def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """`encoded` with the bytes of its ids as `decoded`."""
-    out = f"{ENCODED}, decoded binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(ranks, pattern)
+        tool = _tool(Decoder, ranks)
         for batch in batches:
-            bodies = [tool.decode(np.frombuffer(x.as_py(), "<u4")) for x in batch.column(2)]
+            lists = batch.column(2)
+            ids, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column(1).to_numpy())])
+            bodies = [tool.decode(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(3)), pa.array(bodies, pa.binary())],
                 names=["doc_id", "n_tokens", "ids", "decoded"],
             )
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, out)
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, f"{ENCODED}, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded rows."""
-    out = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        for batch in batches:
-            listed = [
-                hashlib.sha256(",".join(map(str, np.frombuffer(x.as_py(), "<u4").tolist())).encode()).hexdigest()
-                for x in batch.column(2)
-            ]
-            body = [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(3)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(listed, pa.string()), pa.array(body, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return decoded.select("doc_id", "n_tokens", "ids", "decoded").mapInArrow(run, out)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -43,7 +43,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by byte-level BPE ranks and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+    return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -170,7 +170,7 @@ def piece_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 class Encoder:
     """Ids of pieces, kept between batches in sorted arrays of at most `most` pieces."""
 
-    def __init__(self, path: str, pattern: str, most: int = 3_000_000):
+    def __init__(self, path: str, pattern: str, most: int = 1_000_000):
         ranks = load_ranks(path)
         self.whole = PerfectHash(ranks)
         self.parts = BytePairs(ranks)

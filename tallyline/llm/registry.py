@@ -8,10 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, chat_format, ordinal_quality, token_output
+from tallyline.llm import byte_bpe, chat_format, hamming_search, itq_dedup, lm_difference, ordinal_quality, pii_spans, source_mix, token_output
 from tallyline.llm.storage import stored, table
 
 
+OP10 = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, e.vec_id AS neighbor_id,
+    CAST(len(list_filter(list_zip(q.embedding, e.embedding), lambda p: (p[1] > 0) <> (p[2] > 0))) AS INTEGER) AS distance
+  FROM usable q JOIN usable e ON q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM pairs)
+WHERE rank <= 10
+"""
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as Huffman coded token files, then read back."""
     files = token_output.write_tokens(
@@ -32,6 +47,22 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(stored(chat_format.format_turns(messages), "chat"))
 
 
+def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii_spans.summarise(pii_spans.find(table(spark, sf_dir, "documents")))
+
+
+def op5_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored between well-rated documents and all documents."""
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    return lm_difference.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources takes from each document."""
+    return source_mix.taken_words(*source_mix.mix(table(spark, sf_dir, "documents")))
+
+
 def op7_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade, and the probability of the best grade, of all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -46,14 +77,29 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
 
 
+def op9_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all vectors."""
+    return itq_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
+def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every vector whose id is divisible by 20."""
+    return hamming_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_files": op2_token_files,
         "op3_chat_format": op3_chat_format,
+        "op4_pii_spans": op4_pii_spans,
+        "op5_lm_difference": op5_lm_difference,
+        "op6_source_mix": op6_source_mix,
         "op7_quality_grades": op7_quality_grades,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_itq_dedup": op9_itq_dedup,
+        "op10_hamming_top_k": op10_hamming_top_k,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op10_hamming_top_k": OP10}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, chat_format, hamming_search, itq_dedup, lm_difference, ordinal_quality, pii_spans, source_mix, token_output
+from tallyline.llm import byte_bpe, chat_format, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, token_output
 from tallyline.llm.storage import stored, table
 
 
@@ -27,6 +27,36 @@ WHERE rank <= 10
 """
 
 
+# Components by spreading the smallest id along links.
+OP1 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS r(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 75 * (p.n + q.n - k)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
+FROM words w LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY x) USING (doc_id)
+"""
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as Huffman coded token files, then read back."""
     files = token_output.write_tokens(
@@ -89,6 +119,7 @@ def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_token_files": op2_token_files,
         "op3_chat_format": op3_chat_format,
         "op4_pii_spans": op4_pii_spans,
@@ -102,4 +133,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op10_hamming_top_k": OP10}
+    return {"op1_ngram_join": OP1, "op10_hamming_top_k": OP10}

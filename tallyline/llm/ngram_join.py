@@ -276,3 +276,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: t
             named.where("c = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
         )
     )
+
+
+def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its component, or null, or has no words."""
+    found = near_duplicates(docs, size, percent)
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
+    return docs.join(_few(gone), "doc_id", "left_anti").select(*docs.columns)

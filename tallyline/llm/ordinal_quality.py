@@ -196,10 +196,18 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = 12_000, least: int
     return OrdinalModel(model.weights * rarity, model.thresholds)
 
 
+def _above(model: OrdinalModel, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """P(grade > k) for each text and k."""
+    row, ids, values = features(data, bounds)
+    total = np.bincount(row, model.weights[ids].astype(np.float64) * values, len(bounds) - 1)
+    return 1 - _sigmoid(model.thresholds[None, :] - total[:, None])
+
+
 def score(docs: DataFrame, model: OrdinalModel | None, tail: int, chance: float = 0.5) -> DataFrame:
     """(doc_id, expected_grade, tail_probability, kept) of every document.
 
-    The tail is P(grade >= tail); a document is kept if that is at least `chance`.
+    The tail is P(grade >= tail); a document is kept if that is at least `chance`. `tail` is from 1
+    to the best grade that was rated.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = "doc_id long, expected_grade double, tail_probability double, kept boolean"
@@ -210,10 +218,8 @@ def score(docs: DataFrame, model: OrdinalModel | None, tail: int, chance: float
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
             for a, b in groups(bounds):
-                row, ids, values = features(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                total = np.bincount(row, model.weights[ids].astype(np.float64) * values, b - a)
-                above = 1 - _sigmoid(model.thresholds[None, :] - total[:, None])  # P(grade > k)
-                at = above[:, tail - 1] if tail <= above.shape[1] else np.zeros(b - a)
+                above = _above(model, data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                at = above[:, tail - 1]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(above.sum(1)), pa.array(at), pa.array(at >= chance)],
                     names=["doc_id", "expected_grade", "tail_probability", "kept"],
@@ -222,6 +228,22 @@ def score(docs: DataFrame, model: OrdinalModel | None, tail: int, chance: float
     return rows.mapInArrow(run, out)
 
 
+def keep(docs: DataFrame, model: OrdinalModel | None, tail: int, chance: float = 0.5) -> DataFrame:
+    """The rows of `docs` that `score` keeps, with all their columns."""
+    if model is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, bounds = text_bytes(batch.column(at))
+            for a, b in groups(bounds):
+                best = _above(model, data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])[:, tail - 1]
+                yield batch.slice(a, b - a).filter(pa.array(best >= chance))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def label_grades(labels: DataFrame) -> DataFrame:
     """Graded ratings of the labels: 0 for low quality, 1 for good but toxic text, 2 for the rest."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)

@@ -105,7 +105,7 @@ def sized_documents(docs: DataFrame, block_words: int, *keep: str) -> DataFrame:
 def draw(sized: DataFrame, sources: list[dict], block_words: int, shards: int, seed: int) -> DataFrame:
     """The blocks of the mix: (shard, place, source, doc_id, tie, block, round, words).
 
-    `sized` has (doc_id, tie, source, size, blocks), `tie` telling documents of one id apart.
+    `sized` has (doc_id, tie, source, size, blocks), `tie` telling documents apart.
     """
     spark = sized.sparkSession
     blocks = (
@@ -188,14 +188,18 @@ def draw(sized: DataFrame, sources: list[dict], block_words: int, shards: int, s
     )
 
 
+def _tie() -> Column:
+    """A hash that tells documents apart; equal ones may share it."""
+    return F.xxhash64("doc_id", "source", "text", F.isnull("doc_id"), F.isnull("source")).alias("tie")
+
+
 def mix(docs: DataFrame, block_words: int = 256, shards: int = 16, seed: int = 11) -> tuple[DataFrame, DataFrame, list[dict]]:
     """(sized documents, drawn blocks, sources) of a mix of `docs`; see `draw`.
 
     In shard order, sorted by `place`, the drawn blocks are the mixed corpus.
     """
-    tie = F.xxhash64("text", "size").alias("tie")
     sized = stored(
-        sized_documents(docs, block_words, "text").select("doc_id", "source", "size", "blocks", tie), "mix-sizes"
+        sized_documents(docs, block_words, "text").select("doc_id", "source", "size", "blocks", _tie()), "mix-sizes"
     )
     sources = plan_sources(sized)
     return sized, draw(sized, sources, block_words, shards, seed), sources
@@ -206,22 +210,28 @@ def taken_words(sized: DataFrame, drawn: DataFrame, sources: list[dict]) -> Data
     spark = sized.sparkSession
     known = [(s["source"], s["source_size"], s["target"]) for s in sources] or [(None, 0, 0.0)]
     of_source = spark.createDataFrame(known, "source string, source_size long, target double")
-    # Rows with equal id and text share their blocks' words evenly.
-    took = drawn.groupBy("doc_id", "tie", "source").agg(F.sum("words").alias("words"))
-    s, t = sized.alias("s"), took.alias("t")
-    same = (
-        F.col("s.doc_id").eqNullSafe(F.col("t.doc_id"))
-        & (F.col("s.tie") == F.col("t.tie"))
-        & F.col("s.source").eqNullSafe(F.col("t.source"))
-    )
-    copies = Window.partitionBy("s.doc_id", "s.tie", "s.source")
-    each = F.coalesce(F.col("t.words"), F.lit(0))
-    part = F.floor(each / F.count("*").over(copies)) + F.when(
-        F.row_number().over(copies.orderBy("s.size")) <= each % F.count("*").over(copies), 1
-    ).otherwise(0)
-    rows = s.join(t, same, "left").select("s.doc_id", "s.source", "s.size", part.cast("long").alias("taken"))
+    # Documents equal in everything share the words taken from them evenly.
+    took = drawn.groupBy("tie").agg(F.sum("words").alias("words"))
+    copies = sized.groupBy("tie").agg(F.count("*").alias("copies"))
+    rows = sized.join(copies, "tie").join(took, "tie", "left")
+    each = F.coalesce(F.col("words"), F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("tie").orderBy("size"))
+    part = F.floor(each / F.col("copies")) + F.when(nth <= each % F.col("copies"), 1).otherwise(0)
+    rows = rows.select("doc_id", "source", "size", part.cast("long").alias("taken"))
     return (
         rows.alias("r")
         .join(F.broadcast(of_source).alias("o"), F.col("r.source").eqNullSafe(F.col("o.source")))
         .select("doc_id", "size", "source_size", "target", "taken")
     )
+
+
+def mixed_documents(docs: DataFrame, shards: int = 16, seed: int = 11) -> DataFrame:
+    """A mix of whole documents with the columns of `docs`, one row each time a document is taken.
+
+    Shard by shard, each shuffled by hash.
+    """
+    _, drawn, _ = mix(docs, 1 << 40, shards, seed)
+    own = Window.partitionBy("tie").orderBy("doc_id")
+    texts = docs.withColumn("tie", _tie()).withColumn("copy", F.row_number().over(own)).where("copy = 1").drop("copy")
+    rows = drawn.select("tie", "shard", "place").join(texts, "tie")
+    return rows.repartition("shard").sortWithinPartitions("shard", "place").select(*docs.columns)

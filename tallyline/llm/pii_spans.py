@@ -264,8 +264,8 @@ def find(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, model: list[float]) -> DataFrame:
     """`docs` with each span of `text` replaced by its kind in angle brackets; nulls stay null."""
-    own = docs.columns
-    decided = decide(candidates(docs), model)
+    rows = docs.select("text", F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    decided = decide(candidates(rows), model)
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
     text = F.col("text")
     # Overlapping spans: the earlier one names the place, and what the later covers goes too.
@@ -287,4 +287,5 @@ def redact(docs: DataFrame, model: list[float]) -> DataFrame:
         ),
         lambda a: F.concat(F.array_join(a["parts"], ""), text.substr((a["upto"] + 1).cast("int"), F.length(text))),
     )
-    return decided.withColumn("text", F.when(F.size("spans") > 0, built).otherwise(text)).select(*own)
+    clean = F.when(F.size("spans") > 0, built).otherwise(text)
+    return decided.select(*((clean if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns))

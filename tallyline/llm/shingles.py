@@ -20,7 +20,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int = 5) -> Iterato
     words = range_hashes(LOWER[data], start, end)
     rolled = np.zeros(max(0, len(words) - size + 1), np.uint64)
     for k in range(size):
-        rolled += words[k : len(words) - size + 1 + k] * _PLACE[k]
+        rolled += words[k : k + len(rolled)] * _PLACE[k]
     rolled ^= rolled >> np.uint64(29)
     rolled *= np.uint64(0xBF58476D1CE4E5B9)
     rolled ^= rolled >> np.uint64(32)

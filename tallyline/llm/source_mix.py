@@ -231,7 +231,8 @@ def mixed_documents(docs: DataFrame, shards: int = 16, seed: int = 11) -> DataFr
     Shard by shard, each shuffled by hash.
     """
     _, drawn, _ = mix(docs, 1 << 40, shards, seed)
-    own = Window.partitionBy("tie").orderBy("doc_id")
-    texts = docs.withColumn("tie", _tie()).withColumn("copy", F.row_number().over(own)).where("copy = 1").drop("copy")
+    own = Window.partitionBy("tie").orderBy("row.doc_id")
+    texts = docs.select(_tie(), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    texts = texts.withColumn("copy", F.row_number().over(own)).where("copy = 1").drop("copy")
     rows = drawn.select("tie", "shard", "place").join(texts, "tie")
-    return rows.repartition("shard").sortWithinPartitions("shard", "place").select(*docs.columns)
+    return rows.repartition("shard").sortWithinPartitions("shard", "place").select("row.*")

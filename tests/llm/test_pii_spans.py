@@ -1,0 +1,117 @@
+"""Personal data: base spans against a plain reading of the patterns, and what the method adds."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.llm import pii_spans, registry
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def holds(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in match.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 10 <= len(digits) <= 15
+
+
+def base(text):
+    kinds = list(PATTERNS)
+    return sorted(
+        (m.start(), kinds.index(k), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if holds(k, m.group())
+    )
+
+
+def expected(text):
+    spans = base(text)
+    listed = ",".join(f"{pii_spans.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+    return *(sum(k == n for _, k, _ in spans) for n in range(4)), hashlib.sha256(listed.encode()).hexdigest()
+
+
+PIECES = [
+    "a", "Z", "0", "12", "4111 1111 1111 1111", "255", "256", ".", ".", "-", " ", "@", "@", "+", "+1 (555) 555-0100", "(", "é🙂",
+    "%", "_", "b@c.d", "1.2.3.4", "joe (at) mail (dot) com", " 212-555-0188 ", "tel ", "\n", "4242424242424242",
+]
+
+
+def test_base_spans_of_random_and_very_long_texts(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 25))) for _ in range(800)]
+    texts += [None, "", "a" * 100_000 + "@b.c " + "1" * 50_000 + " " + "1 " * 30_000, "x@y.zz 1.2.3.4," * 2000, "@" * 30_000, "." * 30_000]
+    docs = spark.createDataFrame([(i, t, 1, "c") for i, t in enumerate(texts)], "doc_id long, text string, spans int, candidates string")
+    got = {r.doc_id: r for r in pii_spans.summarise(pii_spans.find(docs)).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        r = got[i]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == expected(text or ""), text[:80]
+        kept = {f"{pii_spans.KINDS[k]}:{s}:{e}" for s, k, e in base(text or "")}
+        assert kept <= set(r.spans.split(","))
+
+
+def test_query_over_whole_documents(spark, sf):
+    got = {r.doc_id: r for r in registry.op4_pii_spans(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        r = got[d.doc_id]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == expected(d.text or "")
+
+
+def test_votes_teach_loose_spans(spark):
+    phones = [(i, f"please call 212-555-{1000 + i} today") for i in range(60)]
+    strict = [(100 + i, f"tel +1 (212) 555-{1000 + i} now") for i in range(60)]
+    parts = [(200 + i, f"order 012-555-{1000 + i}") for i in range(60)]
+    docs = spark.createDataFrame(phones + strict + parts, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii_spans.summarise(pii_spans.find(docs)).collect()}
+    assert all(found[i] == "phone:12:24" for i, _ in phones)
+    assert all(found[i] == "phone:4:21" for i, _ in strict)
+    assert all(found[i] == "" for i, _ in parts)
+
+
+def test_em_trusts_labelers_that_agree():
+    counts = {(0, 1, 1, 1): 80, (0, 0, 1, 1): 40, (0, 0, -1, -1): 60, (0, -1, -1, 0): 40}
+    posterior = pii_spans.reliabilities(counts)
+    assert posterior[0, 1, 1, 1] > 0.95
+    assert posterior[0, 0, 1, 1] > 0.9
+    assert posterior[0, -1, -1, 0] < 0.1
+
+
+@pytest.mark.parametrize("text, want", [
+    ("mail a@b.co, ip 1.2.3.4!", "mail <EMAIL>, ip <IP>!"),
+    ("é🙂 a@b.co", "é🙂 <EMAIL>"),
+    ("a@1.2.3.4", "<EMAIL>"),
+    ("none", "none"),
+    (None, None),
+])
+def test_redaction_replaces_spans(spark, text, want):
+    docs = spark.createDataFrame([(1, text, "k")], "doc_id long, text string, spans string")
+    weights = [0.0] * (4 * (1 + pii_spans.FEATURES * pii_spans.CELLS))
+    assert pii_spans.redact(docs, weights).collect() == [(1, want, "k")]
+
+
+def test_null_repeated_and_missing_rows(spark):
+    docs = spark.createDataFrame([(None, "a@b.co"), (1, "a@b.co"), (1, "a@b.co")], "doc_id long, text string")
+    rows = pii_spans.summarise(pii_spans.find(docs)).select("doc_id", "n_email").collect()
+    assert sorted((r.doc_id or 0, r.n_email) for r in rows) == [(0, 1), (1, 1), (1, 1)]
+    assert pii_spans.summarise(pii_spans.find(docs.limit(0))).count() == 0
+
+
+def test_plan_has_no_python(spark, sf):
+    plan = pii_spans.candidates(spark.read.parquet(f"{sf}/documents.parquet")).select(F.size("candidates"))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,86 @@
+"""The stages of the corpus pipeline, each on what the one before it kept."""
+
+import re
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import corpus_pipeline
+from tallyline.llm import byte_bpe, ngram_join, registry
+from tallyline.llm.storage import stored
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").cache()
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(stored(stage(spark, out[-1], sf), name).cache())
+    return out
+
+
+def test_columns_stay_those_of_documents(steps):
+    for step in steps[1:-1]:
+        assert step.columns == steps[0].columns
+        assert step.dtypes == steps[0].dtypes
+
+
+def test_rejected_documents_go_and_others_are_unchanged(spark, sf, steps):
+    before, after = ({r.doc_id: r for r in s.collect()} for s in steps[:2])
+    assert all(before[i] == r for i, r in after.items())
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    clean = [r.doc_id for r in labels if r.quality and not r.toxic]
+    assert sum(i in after for i in clean) >= 0.97 * len(clean)
+    assert sum(r.doc_id in after for r in labels if not r.quality) <= 0.1 * sum(not r.quality for r in labels)
+
+
+def test_one_document_of_each_group_stays(steps):
+    groups = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(steps[1]).collect()}
+    assert sorted(r.doc_id for r in steps[2].collect()) == sorted(set(groups.values()))
+
+
+def test_personal_data_goes_and_the_rest_stays(steps):
+    before, after = ({r.doc_id: r for r in s.collect()} for s in steps[2:4])
+    assert before.keys() == after.keys()
+    mail = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    assert any(mail.search(r.text) for r in before.values())
+    for i, r in after.items():
+        assert not mail.search(r.text)
+        assert r.n_chars == len(r.text)
+        if not re.search(r"[0-9@]", before[i].text):
+            assert r.text == before[i].text
+
+
+def test_the_mix_repeats_at_most_three_times(steps):
+    before = {r.doc_id: r for r in steps[3].collect()}
+    rows = steps[4].collect()
+    assert all(before[r.doc_id] == r for r in rows)
+    assert max(sum(r.doc_id == i for r in rows) for i in {r.doc_id for r in rows}) <= 3
+
+
+def test_tokens_decode_to_the_mix(steps):
+    tool = tiktoken.Encoding(
+        "own",
+        pat_str=public_tokenizers.PATTERN,
+        mergeable_ranks=byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
+        special_tokens={},
+    )
+    want = sorted((r.doc_id, tool.encode_ordinary(r.text or "")) for r in steps[4].collect())
+    assert sorted((r.doc_id, r.ids) for r in steps[5].collect()) == want
+
+
+def test_every_query_is_registered():
+    import __spark_entry__
+
+    names = set(__spark_entry__.queries())
+    assert set(registry.all_queries()) | {"pipeline"} <= names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+
+
+def test_odd_documents_pass_all_stages(spark, sf, steps):
+    rows = [(None, None, None, None, None), (-5, "", "en", None, 0), (-6, "x " * 30_000, "en", "src0", 60_000), (-6, "x " * 30_000, "en", "src0", 60_000)]
+    docs = steps[0].limit(40).union(spark.createDataFrame(rows, steps[0].schema))
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, sf), name)
+    assert docs.count() > 0

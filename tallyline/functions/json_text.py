@@ -112,9 +112,16 @@ def python_repr(value: str) -> str:
 
 
 def python_str(value: str) -> str:
-    """Text of a JSON value the way Python's ``str`` shows it; null stays NULL."""
+    """Text of a JSON value the way Python's ``str`` shows it; null stays NULL.
+
+    A fraction of zero is kept apart from an integer, which is a decimal only from
+    19 digits on. Integers of over 38 digits and floats in exponent form are shown
+    as Spark shows a double.
+    """
     text = as_text(value)
-    return f"if(schema_of_variant({value}) = 'BOOLEAN', initcap({text}), {text})"
+    return f"""case when schema_of_variant({value}) = 'BOOLEAN' then initcap({text})
+                    when schema_of_variant({value}) rlike '^DECIMAL[(]([0-9]|1[0-8]),0[)]$' then concat({text}, '.0')
+                    else {text} end"""
 
 
 def merged_text(base: str, overlay: str) -> str:

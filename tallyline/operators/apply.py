@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import json_text as J
 from tallyline.functions.rules import amount_of, record_violation, timestamp_of
-from tallyline.functions.skew import salted_join
 from tallyline.schemas import CHECKPOINTS, LEDGER, LEDGER_KEY, PARTITION_KEY
 
 _IDENTITY = ("source_system", "source_record_id", "transaction_id")
@@ -26,11 +25,11 @@ _ORDER = (
 def unseen_events(raw: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Raw events beyond their partition's checkpoint (none stored: all).
 
-    One Kafka partition may hold a large share of all events, hence the salted
-    lookup; offsets spread the rows evenly.
+    The checkpoints are one row per Kafka partition; where they are too many to
+    broadcast, adaptive execution splits a partition with many events.
     """
     marks = checkpoints.select(*PARTITION_KEY, "last_kafka_offset")
-    joined = salted_join(raw, marks, PARTITION_KEY, "left", spread=["kafka_offset"])
+    joined = raw.join(marks, PARTITION_KEY, "left")
     beyond = F.col("kafka_offset") > F.coalesce("last_kafka_offset", F.lit(-1))
     return joined.where(beyond).drop("last_kafka_offset")
 

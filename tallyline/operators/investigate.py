@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import salted_join
 from tallyline.schemas import (
     CHECK_RESULTS,
     CHECK_STATUSES,
@@ -24,8 +23,6 @@ from tallyline.session import shared_folder
 # Page size limits.
 DEFAULT_LIMIT = 50
 MAX_LIMIT = 200
-# Beyond this offset a page is cut from a sorted table.
-FAR_OFFSET = 10_000
 
 
 @dataclass(frozen=True)
@@ -49,37 +46,53 @@ def matching(df: DataFrame, equal: dict[str, object]) -> DataFrame:
     return df
 
 
-def page_of(df: DataFrame, order: list[Column], limit: int, offset: int) -> Page:
+def page_of(
+    df: DataFrame, order: list[Column], limit: int, offset: int, folder: str | None = None
+) -> Page:
     """The requested slice and the total.
 
-    Near the start this is a bounded top-k. That operator keeps all rows before
-    the slice too, so a far offset is served from a sorted table instead.
+    The slice is cut from a sorted table in ``folder`` (default: the shared
+    folder), whose partitions are counted to tell where it lies, so no task holds
+    what comes before it, however far that is. Deep readers go on with
+    :func:`page_after`, which sorts nothing.
     """
     if not 1 <= limit <= MAX_LIMIT or offset < 0:
         raise ValueError(f"limit must be 1..{MAX_LIMIT} and offset not negative")
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    if offset > FAR_OFFSET:
-        return Page(_far_slice(df, order, limit, offset), total, limit, offset)
-    return Page(df.orderBy(*order).offset(offset).limit(limit), total, limit, offset)
-
-
-def _far_slice(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the sorted table, whose partitions
-    are counted to tell where the slice lies."""
     spark = df.sparkSession
-    folder = shared_folder(spark, "sorted-page")
+    folder = folder or shared_folder(spark, "sorted-page")
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_row": within}).write.parquet(
         folder
     )
     rows = spark.read.parquet(folder)
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
     # One row per sort partition.
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
     place = F.col("_start") + F.col("_row")
     inside = (place >= offset) & (place < offset + limit)
-    return rows.join(starts, "_part").where(inside).select(*df.columns).orderBy(*order)
+    items = rows.join(starts, "_part").where(inside).select(*df.columns).orderBy(*order)
+    return Page(items, total, limit, offset)
+
+
+def page_after(
+    df: DataFrame, keys: list[tuple[str, bool]], last: tuple | None, limit: int = DEFAULT_LIMIT
+) -> DataFrame:
+    """The ``limit`` rows that follow the sort key ``last`` (None: the first ones).
+
+    ``keys`` are (column, descending); together they identify a row.
+    """
+    if not 1 <= limit <= MAX_LIMIT:
+        raise ValueError(f"limit must be 1..{MAX_LIMIT}")
+    if last is not None:
+        beyond, same = F.lit(False), F.lit(True)
+        for (name, down), value in zip(keys, last, strict=True):
+            column = F.col(name)
+            beyond = beyond | (same & ((column < F.lit(value)) if down else (column > F.lit(value))))
+            same = same & (column == F.lit(value))
+        df = df.where(beyond)
+    return df.orderBy(*(F.desc(c) if down else F.asc(c) for c, down in keys)).limit(limit)
 
 
 def runs_page(
@@ -173,17 +186,22 @@ def investigate_transactions(
     ledger: DataFrame, results: DataFrame, transaction_ids: DataFrame
 ) -> Investigation:
     """Ledger rows and results of the requested transactions, and those of which
-    neither table knows anything. A transaction may own any share of the ledger,
-    hence the salted lookups."""
+    neither table knows anything. The hits are stored, so each table is read once."""
     key = ["transaction_id"]
     wanted = transaction_ids.select(*key).distinct()
-    records = salted_join(ledger, wanted, key, "left_semi", spread=LEDGER_KEY)
-    compared = salted_join(
-        results, wanted, key, "left_semi",
-        spread=["left_source_system", "right_source_system", "currency"],
-    )
+
+    def hits(df: DataFrame) -> DataFrame:
+        folder = shared_folder(df.sparkSession, "investigation")
+        df.join(wanted, key, "left_semi").write.parquet(folder)
+        return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+    records, compared = hits(ledger), hits(results)
     known = records.select(*key).union(compared.select(*key)).distinct()
-    return Investigation(records, compared, wanted.join(known, key, "left_anti"))
+    return Investigation(
+        records.orderBy("source_system", "source_record_id"),
+        compared.orderBy("left_source_system", "right_source_system", "currency"),
+        wanted.join(known, key, "left_anti"),
+    )
 
 
 def latest_quality_execution(checks: DataFrame) -> DataFrame:
@@ -218,8 +236,8 @@ def without_evidence(results: DataFrame) -> DataFrame:
     return results.select(*RESULTS.names)
 
 
-def with_any_evidence(nested_results: DataFrame) -> DataFrame:
+def with_any_evidence(results: DataFrame, evidence: DataFrame) -> DataFrame:
     """Results that have evidence on either side."""
-    return nested_results.where(
-        (F.col("left_record_count") > 0) | (F.col("right_record_count") > 0)
-    )
+    key = [c for c in RESULTS.names if c in (
+        "left_source_system", "right_source_system", "transaction_id", "currency")]
+    return results.join(evidence.select(*key), key, "left_semi")

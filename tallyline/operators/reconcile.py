@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyline.functions.rules import result_type
-from tallyline.functions.skew import salted_join
 from tallyline.schemas import EVIDENCE, RESULT_TYPES, RESULTS, RUNS
 
 PAIR = ["left_source_system", "right_source_system"]
@@ -129,36 +128,6 @@ def ordered_evidence(evidence: DataFrame) -> DataFrame:
     return evidence.orderBy(*PAIR, "transaction_id", "currency", "side", "source_record_id")
 
 
-def nested_evidence(results: DataFrame, evidence: DataFrame, longest: int = 1000) -> DataFrame:
-    """Results with ``left_evidence`` and ``right_evidence`` arrays in record order.
-
-    A side of more than ``longest`` records is not gathered into one row: its
-    result keeps NULL arrays and its records stay available, complete, in
-    ``evidence``. Sides without records get an empty array.
-    """
-    keys = [*PAIR, "transaction_id", "currency"]
-    oversize = F.greatest("left_record_count", "right_record_count") > longest
-    large = results.where(oversize).select(*keys)
-    small_groups = salted_join(evidence, large, keys, "left_anti", spread=["source_record_id"])
-    item = F.struct(
-        "source_record_id",
-        "amount",
-        "currency",
-        "status",
-        "source_event_timestamp",
-        "kafka_topic",
-        "kafka_partition",
-        "kafka_offset",
-        "source_lsn",
-        "source_payload",
-    )
-    gathered = small_groups.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.when(F.col("side") == "left", item))).alias("left_evidence"),
-        F.sort_array(F.collect_list(F.when(F.col("side") == "right", item))).alias("right_evidence"),
-    )
-    return results.join(gathered, keys, "left")
-
-
 def class_counts(results: DataFrame, by: list[str]) -> DataFrame:
     """Total and per-class number of results."""
     return results.groupBy(*by).agg(
@@ -226,7 +195,7 @@ def backfill_baseline_runs(
     runs = numbered.select(*RUNS.names)
     ids = runs.select(*PAIR, F.col("run_id").alias("baseline_run_id"))
     stamped = (
-        salted_join(results, ids, PAIR, "left", spread=["transaction_id", "currency"])
+        results.join(ids, PAIR, "left")
         .withColumn("run_id", F.coalesce("run_id", "baseline_run_id"))
         .select(*RESULTS.names)
     )

@@ -18,20 +18,8 @@ TOPIC = "cdc.ledger_entries"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the test data.
-
-    Deriving events multiplies and renders every row. Where the scan has fewer
-    tasks than the cluster has cores (a small single file), its rows are spread
-    over all cores first; a scan of many splits is left as it is.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores, rows.columns[0]) if _scan_tasks(spark, rows) < cores else rows
-
-
-def _scan_tasks(spark: SparkSession, rows: DataFrame) -> int:
-    """Splits of the files behind ``rows`` (only their number reaches here)."""
-    return rows.select(rows.columns[0]).rdd.getNumPartitions()
+    """A table of the test data."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def instant(seconds: int | Column) -> Column:

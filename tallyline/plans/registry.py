@@ -16,7 +16,7 @@ from tallyline.plans import derived as D
 from tallyline.plans import jobs
 from tallyline.plans.state import LedgerState
 from tallyline.session import configure, shared_folder
-from tallyline.sources.messages import event_lines
+from tallyline.sources.messages import read_event_lines
 from tallyline.streaming.ingestion import start_ingestion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,8 +117,9 @@ def cdc_dedup_positions(spark, sf_dir):
 
 @query
 def marker_exactly_once(spark, sf_dir):
-    lines = D.envelope_lines(D.table(spark, sf_dir, "events"))
-    return envelope.marker_counts(event_lines(lines))
+    folder = shared_folder(spark, "event-lines")
+    D.envelope_lines(D.table(spark, sf_dir, "events")).select("line").write.text(folder)
+    return envelope.marker_counts(read_event_lines(spark, folder))
 
 
 @query
@@ -247,23 +248,35 @@ def reconcile_evidence(spark, sf_dir):
 
 
 @query
-def reconcile_evidence_nested(spark, sf_dir):
-    ledger = D.ledger(_orders(spark, sf_dir))
-    nested = R.nested_evidence(
-        R.reconcile(ledger, "book", "bank", 1, now()), R.evidence_rows(ledger, "book", "bank", 1)
+def reconcile_evidence_hot(spark, sf_dir):
+    """Every record behind ten transactions that hold all line items, in order."""
+    lines = D.table(spark, sf_dir, "lineitem")
+    none = F.lit(None).cast("string")
+    ledger = lines.select(
+        F.when(F.col("l_linenumber") % 2 == 1, "book").otherwise("bank").alias("source_system"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("source_record_id"),
+        F.concat(F.lit("tx-"), F.col("l_suppkey") % 10).alias("transaction_id"),
+        F.lit("USD").alias("currency"),
+        F.col("l_extendedprice").cast("decimal(20,4)").alias("amount"),
+        F.col("l_linestatus").alias("status"),
+        F.lit(False).alias("is_deleted"),
+        now().alias("source_event_timestamp"),
+        F.lit("lines").alias("last_kafka_topic"),
+        F.lit(0).alias("last_kafka_partition"),
+        F.col("l_orderkey").cast("bigint").alias("last_kafka_offset"),
+        none.alias("last_source_lsn"),
+        none.alias("source_payload"),
     )
-    shown = investigate.with_any_evidence(nested)
+    evidence = R.ordered_evidence(R.evidence_rows(ledger, "book", "bank", 1))
+    return evidence.select("transaction_id", "currency", "side", "source_record_id", "amount", "status")
 
-    def records(side: str):
-        return F.array_join(F.transform(side, lambda e: e["source_record_id"]), ",")
 
-    return shown.select(
-        "transaction_id", "currency", "result_type",
-        F.size("left_evidence").alias("left_size"),
-        F.size("right_evidence").alias("right_size"),
-        records("left_evidence").alias("left_records"),
-        records("right_evidence").alias("right_records"),
-    )
+@query
+def results_with_evidence(spark, sf_dir):
+    ledger = D.ledger(_orders(spark, sf_dir))
+    evidence = R.evidence_rows(ledger, "book", "bank", 1).where("source_record_id like '%-b'")
+    shown = investigate.with_any_evidence(R.reconcile(ledger, "book", "bank", 1, now()), evidence)
+    return shown.select("transaction_id", "currency", "result_type")
 
 
 @query
@@ -319,11 +332,41 @@ def state_reconciliation(spark, sf_dir):
     state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
     for part in (D.seen_events(raw, D.half_way_checkpoints(orders)), raw):
         state.append_absent(part, "raw_cdc_events")
+        state.complete(part)
         jobs.process_new_cdc_events(state)
     jobs.run_reconciliation(state, "book", "bank")
     return _result_columns(state.results(state.head()))
 
 
+@query
+def state_quality_history(spark, sf_dir):
+    """Checks of a stored ledger with and without a currency list of its own, and
+    a failed run that keeps the results: the stored history, paged."""
+    orders = _orders(spark, sf_dir)
+    state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
+    jobs.put_ledger(state, D.ledger(orders))
+    at = lambda s: lambda: datetime.fromtimestamp(D.EPOCH + s, timezone.utc)
+    jobs.run_checks(state, clock=at(0))
+    rows = [("USD", True), ("EUR", True), ("JPY", True), ("GBP", False)]
+    jobs.put_currencies(state, spark.createDataFrame(rows, "currency string, enabled boolean"))
+    jobs.run_checks(state, clock=at(60))
+    page = investigate.quality_page(state.appended("check_results", state.head()), limit=200)
+    return _with_total(page).drop("details")
+
+
+@query
+def state_quarantine(spark, sf_dir):
+    """Newest events that break a constraint, set aside while the rest is applied."""
+    raw = D.ledger_events(_orders(spark, sf_dir), defective=True)
+    state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
+    state.append_absent(raw, "raw_cdc_events")
+    state.complete(raw)
+    jobs.process_new_cdc_events(state, "quarantine")
+    return state.appended("cdc_rejects", state.head()).select(
+        "source_system", "source_record_id", "is_deleted", "last_kafka_offset", "violation"
+    )
+
+
 def _unassigned_results(orders):
     day = F.col("run_id")
     k = F.substring("transaction_id", 4, 20).cast("bigint")

@@ -5,15 +5,17 @@ one commit record saying which folders are current. A job that dies before that
 leaves nothing visible, and its retry overwrites the leftovers. One writer per
 root at a time; readers may run any time.
 
-Raw events and dead letters are append-only and keyed by message position, so
-they need no commit record: repeating an append finds its rows already there.
+Raw events and dead letters are append-only and keyed by message position:
+repeating an append finds its rows already there. Which offsets are stored in
+full is said by marks, one highest offset per Kafka partition, written after
+both appends of a batch. Jobs read up to the marks, so an append that is only
+partly visible is not seen at all.
 """
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field, replace
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +41,8 @@ from tallyline.schemas import (
 # Offsets per folder of the append-only tables: partition pruning on ``band``
 # keeps readers away from history they have already processed.
 BAND = 10_000_000
-# Beyond so many Kafka partitions the literal pruning predicates are left out.
-MAX_LITERAL_PARTITIONS = 500
+# Marks that are kept for readers still using them.
+KEPT_MARKS = 5
 
 _COMMITS = T.StructType(
     [
@@ -49,6 +51,16 @@ _COMMITS = T.StructType(
         T.StructField("body", T.StringType()),
     ]
 )
+MARKS = T.StructType(
+    [
+        T.StructField("kafka_topic", T.StringType()),
+        T.StructField("kafka_partition", T.IntegerType()),
+        T.StructField("high", T.LongType()),
+    ]
+)
+CURRENCIES = T.StructType(
+    [T.StructField("currency", T.StringType()), T.StructField("enabled", T.BooleanType())]
+)
 _APPENDED = {"runs": RUNS, "check_results": CHECK_RESULTS, "cdc_rejects": REJECTS}
 
 
@@ -61,15 +73,13 @@ class Commit:
     checkpoints: int | None = None
     ledger: dict[str, list[int]] = field(default_factory=dict)  # bucket -> layers, oldest first
     results: list[list] = field(default_factory=list)  # [left, right, commit]
+    currencies: int | None = None
 
 
 class LedgerState:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, layers: int = 8):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
-        # An apply step adds a layer of changed records to the buckets it touches
-        # and merges a bucket that already has this many.
-        self.layers = layers
         # Fixed for the life of a root; size it so that a bucket holds a few
         # gigabytes of current records.
         self.buckets = buckets
@@ -80,8 +90,11 @@ class LedgerState:
         return self._read("_commits", _COMMITS)
 
     def head(self) -> Commit:
-        newest = self._commits().orderBy(F.desc("commit")).first()
-        return Commit() if newest is None else Commit(**json.loads(newest["body"]))
+        commits = self._commits()
+        newest = commits.agg(F.max("commit")).first()[0]
+        if newest is None:
+            return Commit()
+        return Commit(**json.loads(commits.where(F.col("commit") == newest).first()["body"]))
 
     def publish(self, base: Commit, appended: list[str] | None = None, **changes) -> Commit:
         """Make the folders written for ``base.number + 1`` current; ``appended``
@@ -145,6 +158,12 @@ class LedgerState:
             return rows(False)
         return rows(False).unionByName(newest_records(rows(True)))
 
+    def currencies(self, head: Commit) -> DataFrame | None:
+        """The stored currency list, if one was put."""
+        if head.currencies is None:
+            return None
+        return self._read("supported_currencies", CURRENCIES, [f"commit={head.currencies}"])
+
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*LEDGER_KEY), F.lit(self.buckets)).cast("int")
 
@@ -167,8 +186,10 @@ class LedgerState:
 
     # -- append-only tables ----------------------------------------------
 
-    def _positioned(self, table: str, schema: T.StructType) -> DataFrame:
-        return self._read(table, T.StructType([*schema.fields, T.StructField("band", T.LongType())]))
+    def _positioned(
+        self, table: str, schema: T.StructType, folders: list[str] | None = None
+    ) -> DataFrame:
+        return self._read(table, T.StructType([*schema.fields, T.StructField("band", T.LongType())]), folders)
 
     def raw_events(self) -> DataFrame:
         return self._positioned("raw_cdc_events", RAW_EVENTS).select(*RAW_EVENTS.names)
@@ -176,77 +197,99 @@ class LedgerState:
     def dead_letters(self) -> DataFrame:
         return self._positioned("cdc_dead_letters", DEAD_LETTERS).select(*DEAD_LETTERS.names)
 
-    def _pruned_raw(self, head: Commit, processed_too: bool) -> DataFrame:
-        rows = self._positioned("raw_cdc_events", RAW_EVENTS)
-        marks = self.checkpoints(head).limit(MAX_LITERAL_PARTITIONS + 1).collect()
-        if 0 < len(marks) <= MAX_LITERAL_PARTITIONS:
-            rows = rows.where(~_any_of([
-                _at(m) & (F.col("band") < m["last_kafka_offset"] // BAND) for m in marks
-            ]))
-            if not processed_too:
-                lowest = min(m["last_kafka_offset"] for m in marks)
-                known = _any_of([_at(m) for m in marks])
-                rows = rows.where(~known | (F.col("kafka_offset") > lowest))
-        return rows.select(*RAW_EVENTS.names)
+    def _children(self, folder: str) -> list[str]:
+        """Names in one folder, none if it is missing."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+    def band_folders(self, table: str, ranges: list[tuple[str, int, int, int]]) -> list[str]:
+        """Folders that can hold the offsets of (topic, partition, low, high).
+
+        Lists the bands of those partitions, never files, whatever the history.
+        """
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        found = []
+        for topic, partition, low, high in ranges:
+            own = f"kafka_topic={escape(topic)}/kafka_partition={partition}"
+            for name in self._children(f"{self.root}/{table}/{own}"):
+                if name.startswith("band=") and low // BAND <= int(name[5:]) <= high // BAND:
+                    found.append(f"{own}/{name}")
+        return found
+
+    # -- marks -----------------------------------------------------------
+
+    def _mark_numbers(self) -> list[int]:
+        names = self._children(f"{self.root}/ingest_marks")
+        return sorted(int(n[5:]) for n in names if n.startswith("mark="))
+
+    def marks(self) -> DataFrame:
+        """(topic, partition, high): the offsets that are stored in full."""
+        for number in reversed(self._mark_numbers()):
+            folder = f"{self.root}/ingest_marks/mark={number}"
+            if "_SUCCESS" in self._children(folder):
+                return self.spark.read.schema(MARKS).parquet(folder)
+        return self.spark.createDataFrame([], MARKS)
+
+    def complete(self, *batches: DataFrame) -> None:
+        """Make the offsets of rows that are stored in full visible to the jobs.
+
+        A batch holds everything between the last one and its own highest offset.
+        """
+        rows = self.marks()
+        for batch in batches:
+            rows = rows.unionByName(batch.select(*PARTITION_KEY, F.col("kafka_offset").alias("high")))
+        rows = rows.groupBy(*PARTITION_KEY).agg(F.max("high").alias("high"))
+        numbers = self._mark_numbers()
+        new = numbers[-1] + 1 if numbers else 1
+        rows.coalesce(1).write.parquet(f"{self.root}/ingest_marks/mark={new}")
+        for old in numbers[:-KEPT_MARKS]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/ingest_marks/mark={old}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _raw_from(self, head: Commit, first: int) -> DataFrame:
+        """Raw events up to the marks, from ``first`` beyond each checkpoint's folder."""
+        marks = self.marks()
+        done = {(r[0], r[1]): r[2] for r in self.checkpoints(head).select(*CHECKPOINTS.names[:3]).collect()}
+        ranges = []
+        for topic, partition, high in marks.collect():  # one row per Kafka partition
+            low = done.get((topic, partition), -1) + first
+            if low <= high:
+                ranges.append((topic, partition, max(low, 0), high))
+        rows = self._positioned("raw_cdc_events", RAW_EVENTS, self.band_folders("raw_cdc_events", ranges))
+        visible = rows.join(marks, PARTITION_KEY).where(F.col("kafka_offset") <= F.col("high"))
+        return visible.select(*RAW_EVENTS.names)
 
     def unprocessed_raw(self, head: Commit) -> DataFrame:
         """Raw events without the folders that lie wholly below the checkpoints.
 
         A superset of the unseen events: :func:`unseen_events` decides.
         """
-        return self._pruned_raw(head, processed_too=False)
+        return self._raw_from(head, 1)
 
     def newest_raw(self, head: Commit) -> DataFrame:
         """Raw events from each checkpoint's folder on. A checkpoint is an offset
         that was stored, so every partition's newest event is among them."""
-        return self._pruned_raw(head, processed_too=True)
+        return self._raw_from(head, 0)
 
     def append_absent(self, rows: DataFrame, table: str) -> None:
         """Insert-if-absent by position; repeating it changes nothing."""
         schema = {"raw_cdc_events": RAW_EVENTS, "cdc_dead_letters": DEAD_LETTERS}[table]
-        stored = self._positioned(table, schema)
         touched = (
             rows.groupBy(*PARTITION_KEY)
-            .agg(
-                F.min("kafka_offset").alias("low"),
-                F.max("kafka_offset").alias("high"),
-                F.count(F.lit(1)).alias("n"),
-                F.count_distinct("kafka_offset").alias("positions"),
-            )
-            .limit(MAX_LITERAL_PARTITIONS + 1)
+            .agg(F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high"))
             .collect()
-        )
+        )  # one row per Kafka partition
         if not touched:
             return
-        if len(touched) > MAX_LITERAL_PARTITIONS:
-            fresh = absent_rows(rows, stored)
-        else:
-            # The usual batch repeats nothing and lies beyond all stored offsets;
-            # then its rows need no shuffle to be compared.
-            repeats = any(t["n"] != t["positions"] for t in touched)
-            fresh = first_per_position(rows) if repeats else rows
-            stored = stored.where(_any_of([
-                _at(t) & F.col("band").between(t["low"] // BAND, t["high"] // BAND)
-                for t in touched
-            ]))
-            overlap = _any_of([_at(t) & (F.col("kafka_offset") >= t["low"]) for t in touched])
-            if not stored.where(overlap).isEmpty():
-                fresh = absent_rows(rows, stored)
+        stored = self._positioned(table, schema, self.band_folders(table, [tuple(t) for t in touched]))
+        stored = stored.where(F.col("kafka_offset") >= min(t["low"] for t in touched))
         fresh = (
-            fresh.withColumn("band", F.floor(F.col("kafka_offset") / BAND).cast("bigint"))
+            absent_rows(rows, stored)
+            .withColumn("band", F.floor(F.col("kafka_offset") / BAND).cast("bigint"))
             .hint("rebalance", *PARTITION_KEY, "band")
             .sortWithinPartitions(*PARTITION_KEY, "kafka_offset")
         )
         fresh.write.mode("append").partitionBy(*PARTITION_KEY, "band").parquet(
             f"{self.root}/{table}"
         )
-
-
-def _at(row) -> Column:
-    return (F.col("kafka_topic") == row["kafka_topic"]) & (
-        F.col("kafka_partition") == row["kafka_partition"]
-    )
-
-
-def _any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

@@ -17,12 +17,14 @@ def ingest_batch(
     state: LedgerState, messages: DataFrame, consumer_group: str, clock: Clock = utc_now
 ) -> None:
     """Store one batch. Both appends are insert-if-absent by position, so a
-    batch that is repeated after a failure completes whatever is missing."""
+    batch that is repeated after a failure completes whatever is missing; jobs
+    see its offsets only after both."""
     batch = parse_messages(messages, consumer_group, F.lit(clock()))
     batch.parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         state.append_absent(batch.valid(), "raw_cdc_events")
         state.append_absent(batch.dead_letters(), "cdc_dead_letters")
+        state.complete(batch.valid(), batch.dead_letters())
     finally:
         batch.parsed.unpersist()
 

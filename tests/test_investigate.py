@@ -3,7 +3,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from helpers import CLASSIFICATION, T0, at, ledger_rows
+from helpers import T0, at, deal_ledger, ledger_rows
 from pyspark.sql import functions as F
 
 from tallyline.operators import investigate as I
@@ -14,12 +14,12 @@ from tallyline.schemas import CHECK_RESULTS, CHECKPOINTS, RUNS
 
 @pytest.fixture(scope="module")
 def ledger(spark):
-    return ledger_rows(spark, [(s, r, t, a, "USD", st, False) for s, r, t, a, st in CLASSIFICATION]).cache()
+    return deal_ledger(spark).cache()
 
 
 @pytest.fixture(scope="module")
 def results(ledger):
-    return R.reconcile(ledger, "test-left", "test-right", 1, F.lit(T0)).cache()
+    return R.reconcile(ledger, "shop", "bank", 1, F.lit(T0)).cache()
 
 
 @pytest.fixture(scope="module")
@@ -41,12 +41,24 @@ def test_runs_page(runs):
     assert ids(I.runs_page(runs, right_source_system="nobody")) == []
 
 
-def test_far_pages_equal_near_pages(runs, monkeypatch):
-    near = ids(I.runs_page(runs, limit=37, offset=120))
-    monkeypatch.setattr(I, "FAR_OFFSET", 50)
-    assert ids(I.runs_page(runs, limit=37, offset=120)) == near
+def test_pages_at_any_offset(runs, tmp_path):
+    assert ids(I.runs_page(runs, limit=37, offset=120)) == list(range(180, 143, -1))
     assert ids(I.runs_page(runs, limit=37, offset=290)) == list(range(10, 0, -1))
     assert ids(I.runs_page(runs, limit=37, offset=301)) == []
+    page = I.page_of(runs, [F.desc("run_id")], 5, 100, str(tmp_path / "page"))
+    assert ids(page) == [200, 199, 198, 197, 196]
+
+
+def test_paging_by_the_last_key(runs):
+    keys = [("status", False), ("run_id", True)]
+    want = [(r["status"], r["run_id"]) for r in runs.orderBy("status", F.desc("run_id")).collect()]
+    seen, last = [], None
+    while True:
+        page = [(r["status"], r["run_id"]) for r in I.page_after(runs, keys, last, 70).collect()]
+        if not page:
+            break
+        seen, last = seen + page, page[-1]
+    assert seen == want
 
 
 @pytest.mark.parametrize("bad", [{"limit": 0}, {"limit": 201}, {"offset": -1}, {"status": "DONE"}])
@@ -56,10 +68,10 @@ def test_invalid_page_requests(runs, bad):
 
 
 def test_results_page(results):
-    page = I.results_page(results, currency="usd", result_type="MATCH")
-    assert [r["transaction_id"] for r in page.items.collect()] == ["tx-match"]
-    assert [r["transaction_id"] for r in I.results_page(results, run_id=1).items.collect()] == [
-        "tx-amount", "tx-duplicate", "tx-match", "tx-missing", "tx-status"]
+    page = I.results_page(results, currency="eur", result_type="MATCH")
+    assert [r["transaction_id"] for r in page.items.collect()] == ["deal-0", "deal-6"]
+    assert [r["transaction_id"] for r in I.results_page(results, run_id=1, limit=3).items.collect()] == [
+        "deal-0", "deal-1", "deal-10"]
     for bad in ({"currency": "US"}, {"run_id": 0}, {"result_type": "OTHER"}):
         with pytest.raises(ValueError):
             I.results_page(results, **bad)
@@ -68,21 +80,23 @@ def test_results_page(results):
 
 
 def test_page_evidence(ledger, results):
-    page = I.results_page(results, transaction_id="tx-duplicate")
-    found = I.page_evidence(page, R.evidence_rows(ledger, "test-left", "test-right", 1))
-    assert found.count() == 3
+    page = I.results_page(results, transaction_id="deal-4")
+    found = I.page_evidence(page, R.evidence_rows(ledger, "shop", "bank", 1))
+    assert found.count() == 4
 
 
 def test_lookups(spark, ledger, results):
-    keys = spark.createDataFrame([("test-left", "left-match"), ("test-left", "none")],
+    keys = spark.createDataFrame([("bank", "bank/4/2"), ("bank", "none")],
                                  "source_system string, source_record_id string")
     found, missing = I.ledger_lookup(ledger, keys.union(keys))
-    assert [r["transaction_id"] for r in found.collect()] == ["tx-match"]
-    assert [tuple(r) for r in missing.collect()] == [("test-left", "none")]
-    wanted = spark.createDataFrame([("tx-duplicate",), ("tx-none",)], "transaction_id string")
+    assert [r["transaction_id"] for r in found.collect()] == ["deal-4"]
+    assert [tuple(r) for r in missing.collect()] == [("bank", "none")]
+    wanted = spark.createDataFrame([("deal-10",), ("deal-none",)], "transaction_id string")
     seen = I.investigate_transactions(ledger, results, wanted)
-    assert seen.ledger_records.count() == 3 and seen.results.count() == 1
-    assert [r[0] for r in seen.not_found.collect()] == ["tx-none"]
+    assert [r["source_record_id"] for r in seen.ledger_records.collect()] == [
+        "bank/10/0", "bank/10/1", "bank/10/2", "shop/10/0"]
+    assert seen.results.count() == 1
+    assert [r[0] for r in seen.not_found.collect()] == ["deal-none"]
 
 
 def test_quality_pages(spark):

@@ -3,7 +3,7 @@
 import itertools
 
 import pytest
-from helpers import CLASSIFICATION, T0, ledger_rows
+from helpers import DEAL_TYPES, DEALS, T0, deal_ledger, ledger_rows
 from pyspark.sql import functions as F
 
 from tallyline.operators import investigate
@@ -17,25 +17,21 @@ def now():
 
 @pytest.fixture(scope="module")
 def ledger(spark):
-    rows = [(s, r, t, a, "USD", st, False) for s, r, t, a, st in CLASSIFICATION]
-    rows += [
-        ("test-left", "gone", "tx-gone", "1", "USD", "SETTLED", True),
-        ("test-left", "no-currency", "tx-null", "1", None, "SETTLED", False),
-        ("other", "x", "tx-match", "99", "USD", "SETTLED", False),
+    more = [
+        ("shop", "gone", "deal-gone", "1", "EUR", "PAID", True),
+        ("shop", "no-currency", "deal-null", "1", None, "PAID", False),
+        ("broker", "x", "deal-0", "99", "EUR", "PAID", False),
     ]
-    return ledger_rows(spark, rows).cache()
+    return deal_ledger(spark, more).cache()
 
 
 def test_five_classes(ledger):
-    rows = {r["transaction_id"]: r for r in R.reconcile(ledger, "test-left", "test-right", 1, now()).collect()}
-    assert {k: r["result_type"] for k, r in rows.items()} == {
-        "tx-match": "MATCH", "tx-missing": "MISSING_RECORD", "tx-amount": "AMOUNT_MISMATCH",
-        "tx-status": "STATUS_MISMATCH", "tx-duplicate": "DUPLICATE_RECORD",
-    }
-    assert (rows["tx-missing"]["left_record_count"], rows["tx-missing"]["right_record_count"]) == (1, 0)
-    assert (str(rows["tx-amount"]["left_amount"]), str(rows["tx-amount"]["right_amount"])) == ("30.0000", "31.0000")
-    assert (rows["tx-status"]["left_status"], rows["tx-status"]["right_status"]) == ("SETTLED", "PENDING")
-    assert (rows["tx-duplicate"]["left_record_count"], rows["tx-duplicate"]["right_record_count"]) == (2, 1)
+    rows = {r["transaction_id"]: r for r in R.reconcile(ledger, "shop", "bank", 1, now()).collect()}
+    assert {k: r["result_type"] for k, r in rows.items()} == DEAL_TYPES
+    sides = lambda deal: (rows[deal]["left_record_count"], rows[deal]["right_record_count"])
+    assert [sides(f"deal-{i}") for i in range(6)] == [(1, 1), (0, 1), (1, 1), (1, 1), (1, 3), (1, 0)]
+    assert (str(rows["deal-8"]["left_amount"]), str(rows["deal-8"]["right_amount"])) == ("139.0000", "140.0000")
+    assert (rows["deal-3"]["left_status"], rows["deal-3"]["right_status"]) == ("OPEN", "PAID")
 
 
 def test_duplicates_outrank_missing(spark):
@@ -49,42 +45,33 @@ def test_pair_must_be_two_systems(ledger, left, right):
         R.reconcile(ledger, left, right, 1, now())
 
 
-def test_evidence_rows_and_arrays(ledger):
-    results = R.reconcile(ledger, "test-left", "test-right", 1, now())
-    evidence = R.evidence_rows(ledger, "test-left", "test-right", 1)
-    assert evidence.count() == len(CLASSIFICATION)
-    nested = {r["transaction_id"]: r for r in R.nested_evidence(results, evidence).collect()}
-    assert [e["source_record_id"] for e in nested["tx-duplicate"]["left_evidence"]] == [
-        "left-duplicate-a", "left-duplicate-b"]
-    assert nested["tx-missing"]["right_evidence"] == []
-    assert investigate.with_any_evidence(results).count() == 5
-    ordered = [r["source_record_id"] for r in R.ordered_evidence(evidence).where("transaction_id = 'tx-duplicate'").collect()]
-    assert ordered == ["left-duplicate-a", "left-duplicate-b", "right-duplicate"]
-
-
-def test_oversize_evidence_stays_complete_as_rows(ledger):
-    results = R.reconcile(ledger, "test-left", "test-right", 1, now())
-    evidence = R.evidence_rows(ledger, "test-left", "test-right", 1)
-    nested = {r["transaction_id"]: r for r in R.nested_evidence(results, evidence, longest=1).collect()}
-    assert nested["tx-duplicate"]["left_evidence"] is None and len(nested) == 5
-    assert len(nested["tx-match"]["left_evidence"]) == 1
-    assert evidence.where("transaction_id = 'tx-duplicate'").count() == 3
+def test_evidence_is_complete_and_ordered(ledger):
+    results = R.reconcile(ledger, "shop", "bank", 1, now())
+    evidence = R.evidence_rows(ledger, "shop", "bank", 1)
+    assert evidence.count() == len(DEALS)
+    ordered = R.ordered_evidence(evidence).where("transaction_id = 'deal-10'").collect()
+    assert [(r["side"], r["source_record_id"]) for r in ordered] == [
+        ("left", "shop/10/0"), ("right", "bank/10/0"), ("right", "bank/10/1"), ("right", "bank/10/2")]
+    # Evidence decides, not the counts that a result carries.
+    some = evidence.where("transaction_id <> 'deal-1'")
+    assert investigate.with_any_evidence(results, evidence).count() == 12
+    assert investigate.with_any_evidence(results, some).count() == 11
 
 
 def test_replace_touches_one_ordered_pair(spark, ledger):
-    forward = R.reconcile(ledger, "test-left", "test-right", 1, now())
-    backward = R.reconcile(ledger, "test-right", "test-left", 2, now())
-    fresh = R.reconcile(ledger, "test-left", "test-right", 3, now())
-    after = R.replace_pair(forward.unionByName(backward), fresh, "test-left", "test-right")
-    assert {r["run_id"]: r["count"] for r in after.groupBy("run_id").count().collect()} == {2: 5, 3: 5}
+    forward = R.reconcile(ledger, "shop", "bank", 1, now())
+    backward = R.reconcile(ledger, "bank", "shop", 2, now())
+    fresh = R.reconcile(ledger, "shop", "bank", 3, now())
+    after = R.replace_pair(forward.unionByName(backward), fresh, "shop", "bank")
+    assert {r["run_id"]: r["count"] for r in after.groupBy("run_id").count().collect()} == {2: 12, 3: 12}
 
 
 def test_class_counts_add_up(ledger):
-    results = R.reconcile(ledger, "test-left", "test-right", 1, now())
-    run = R.run_summary(results, "test-left", "test-right", 1, now(), now()).first()
+    results = R.reconcile(ledger, "shop", "bank", 1, now())
+    run = R.run_summary(results, "shop", "bank", 1, now(), now()).first()
     names = [c for c in run.asDict() if c.endswith("_count") and c != "total_result_count"]
-    assert run["total_result_count"] == 5 == sum(run[c] for c in names)
-    assert [run[c] for c in names] == [1] * 5
+    assert run["total_result_count"] == 12 == sum(run[c] for c in names)
+    assert sorted(run[c] for c in names) == [2, 2, 2, 2, 4]
 
 
 def test_baseline_runs_number_every_pair_once(spark):
@@ -134,8 +121,7 @@ def test_one_key_with_a_third_of_all_records(spark):
     assert found == brute_force(records, "l", "r")
     results = R.reconcile(ledger, "l", "r", 1, now())
     evidence = R.evidence_rows(ledger, "l", "r", 1)
-    nested = R.nested_evidence(results, evidence, longest=100)
-    assert nested.where("left_evidence is null").select("transaction_id").collect()[0][0] == "hot"
-    assert nested.count() == results.count()
+    hot = R.ordered_evidence(evidence).where("transaction_id = 'hot'").select("side", "source_record_id").collect()
+    assert hot == sorted(("left" if i % 2 else "right", f"hot{i}") for i in range(3000))
     plan = results._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Aggregate") == 2

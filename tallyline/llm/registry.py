@@ -52,6 +52,29 @@ LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY x) USING (doc_id)
 """
 
 
+def _escaped(column: str) -> str:
+    sql = rf"replace({column}, '\', '\\')"
+    for c in chat_format.CONTROL:
+        sql = rf"replace({sql}, '{c}', '{c[0]}\{c[1:]}')"
+    return sql
+
+
+_MARKS = sum(map(len, (chat_format.TURN, chat_format.BODY, chat_format.END)))
+OP3 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (SELECT *, length({_escaped('role')}) + length({_escaped('text')}) + {_MARKS} AS chars FROM turns)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY 1
+"""
+
+
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -133,4 +156,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_ngram_join": OP1, "op10_hamming_top_k": OP10}
+    return {"op1_ngram_join": OP1, "op3_chat_format": OP3, "op10_hamming_top_k": OP10}

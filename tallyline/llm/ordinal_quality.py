@@ -93,13 +93,15 @@ def _residuals(score: np.ndarray, grades: np.ndarray, thresholds: np.ndarray):
 
 
 def fit(
-    rows: list[tuple[int, np.ndarray, np.ndarray]], z: float = 3.0, rounds: int = 150, l1: float = 1e-3
+    rows: list[tuple[int, np.ndarray, np.ndarray]], z: float = 2.0, rounds: int = 150, penalty: float = 0.09
 ) -> OrdinalModel:
     """Weights and thresholds from (grade, features, values) rows.
 
     A feature takes part if its score test against thresholds alone reaches `z` deviations. The
-    penalised likelihood is then maximised over all rows at once, by Adam with soft thresholds.
+    penalised likelihood is then maximised over all rows at once, by Adam with soft thresholds. The
+    penalty falls with the root of the number of rows, as the noise of a slope does.
     """
+    l1 = penalty / np.sqrt(len(rows))
     grades = np.array([r[0] for r in rows])
     number, top = len(rows), int(grades.max())
     share = np.clip(np.cumsum(np.bincount(grades, minlength=top + 1))[:-1] / number, 1e-3, 1 - 1e-3)
@@ -139,7 +141,7 @@ def fit(
     return OrdinalModel(weights, np.cumsum(np.concatenate([steps[:1], np.exp(steps[1:])])))
 
 
-def train(docs: DataFrame, ratings: DataFrame, sample: int = 12_000, least: int = 4) -> OrdinalModel | None:
+def train(docs: DataFrame, ratings: DataFrame, sample: int = 8_000, least: int = 4) -> OrdinalModel | None:
     """Fit on the texts of at most `sample` rows of `ratings` (doc_id, grade from 0)."""
     rated = (
         ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade"))
@@ -182,18 +184,34 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = 12_000, least: int
     sums = found.select("ids").mapInArrow(shared, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     number = found.count()
     rarity = np.zeros(WIDTH, np.float32)  # 0 also for features that few documents have
-    for r in sums.where(F.col("n") >= least).collect():  # at most WIDTH rows
-        rarity[r.id] = np.log(number / r.n)
+    common = sums.where(F.col("n") >= least).toArrow()  # at most WIDTH rows
+    rarity[common.column("id").to_numpy()] = np.log(number / common.column("n").to_numpy())
     rarity[1 << BITS :] = 1
-    rows = []
-    for r in found.orderBy("doc_id", "ids").toLocalIterator():  # at most `sample` documents
-        ids = np.frombuffer(r.ids, "<i4")
-        keep = rarity[ids] > 0
-        rows.append((r.grade, ids[keep], (np.frombuffer(r.vals, "<f4") * rarity[ids])[keep]))
-    if not rows or not max(r[0] for r in rows):
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            for doc_id, grade, ids, vals in zip(*batch.columns, strict=True):
+                ids = np.frombuffer(ids.as_py(), "<i4")
+                keep = rarity[ids] > 0
+                values = (np.frombuffer(vals.as_py(), "<f4") * rarity[ids])[keep]
+                rows.append((doc_id.as_py(), grade.as_py(), ids[keep], values))
+        rows.sort(key=lambda r: (r[0], len(r[2]), r[2].tobytes()))
+        if rows and max(r[1] for r in rows):
+            model = fit([r[1:] for r in rows])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([(model.weights * rarity).astype("<f4").tobytes()], pa.binary()),
+                    pa.array([model.thresholds.tolist()], pa.list_(pa.float64())),
+                ],
+                names=["weights", "thresholds"],
+            )
+
+    # One task fits the model: it holds `sample` documents, whatever the table.
+    solved = found.repartition(1).mapInArrow(solve, "weights binary, thresholds array<double>").collect()
+    if not solved:
         return None
-    model = fit(rows)
-    return OrdinalModel(model.weights * rarity, model.thresholds)
+    return OrdinalModel(np.frombuffer(solved[0].weights, "<f4"), np.array(solved[0].thresholds))
 
 
 def _above(model: OrdinalModel, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:

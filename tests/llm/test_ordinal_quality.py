@@ -79,3 +79,8 @@ def test_query_covers_all_documents(spark, sf):
     rows = registry.op7_quality_grades(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert all(r.kept == (r.tail_probability >= 0.5) for r in rows)
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    clean = [r.kept for r in rows if r.doc_id in labels and labels[r.doc_id].quality and not labels[r.doc_id].toxic]
+    assert sum(clean) >= 0.97 * len(clean)
+    bad = [r.kept for r in rows if r.doc_id in labels and not labels[r.doc_id].quality]
+    assert sum(bad) <= 0.1 * len(bad)

@@ -225,9 +225,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: t
     rows = measured.where("chunk is null").select("doc_id", "n", "c")
     sizes = rows.where("c <> 0").select("c", "n").distinct()
     levels = _levels(measured)
-    spread = _prefixes(docs, levels, size, percent).repartition("token")
-    several = spread.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    shared = stored(spread.join(several, "token", "left_semi").distinct().join(sizes, "c").select("token", "c", "pos", "n"), "shared-prefixes")
+    # One shuffle of all prefixes; what only one class has goes before anything else is done.
+    own = Window.partitionBy("token")
+    met = _prefixes(docs, levels, size, percent).select(
+        "token", "c", "pos", F.min("c").over(own).alias("lo"), F.max("c").over(own).alias("hi")
+    )
+    shared = stored(
+        met.where("lo <> hi").select("token", "c", "pos").distinct().join(sizes, "c").select("token", "c", "pos", "n"),
+        "shared-prefixes",
+    )
     # The two largest groups that a class is in; classes of a large group of copies agree on them.
     per = shared.groupBy("token").agg(F.count("*").alias("group"))
     order = Window.partitionBy("c").orderBy(F.desc("group"), "token")

@@ -5,14 +5,20 @@ the same order (bigrams over lower-cased words), the same vocabulary and the sam
 score of a document is the mean over its words of the target loss minus the background loss:
 the lower, the more the document is like the target.
 
-Every word and bigram of every document is counted, in tasks first and then by a shuffle on the
-n-gram. The vocabulary are the words that make up at least `word_share` of all words, so at most
-1 / `word_share` of them; other words count as one unknown word. Bigrams stay if they make up at
-least `bigram_share`, again at most 1 / `bigram_share`. These bounds hold at any size of corpus, and
-limit what tasks are given. With c the counts of what stayed, N words and V the vocabulary,
+Every word and bigram of every document has its exact count, however rare. With c the counts, N words
+and V different words,
 
     P(w) = (c(w) + 1) / (N + V + 1)        P(w | h) = (c(h, w) + m P(w)) / (c(h) + m)
 
+The counts of frequent words and bigrams (at least `FREQUENT` of all, so at most 1 / `FREQUENT` of each) go to
+tasks, which finish their part of the losses. For all others a task sends one row per document and n-gram,
+grouped by the n-gram in a shuffle: what meets there is the whole count, and since no such n-gram is
+frequent, no group is large. Their losses go back to the documents as sums. How much is frequent changes
+only the way, not the result.
+
+A caller may cut the models: words below `word_share` of all count as one unknown word, bigrams below
+`bigram_share` as not seen. By default nothing is cut.
+
 Null texts count as empty; a document without words has null losses. Null ids are scored, but are never in the
 target; repeated rows count and are scored each. An empty table gives none, an empty target equal chances for
 all words. Extra columns are ignored.
@@ -29,17 +35,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.storage import stored
-from tallyline.llm.text_arrays import LOWER, groups, range_hashes, text_bytes, word_bounds
+from tallyline.llm.text_arrays import LOWER, groups, mixed, range_hashes, text_bytes, word_bounds
 
 COUNTS = "key long, n long, t long"
-SCORES = "doc_id long, n_words long, target_loss double, background_loss double, difference double"
+ASKS = "g long, s long, row long, info long, target_loss double, background_loss double"
+PARTS = "row long, doc_id long, n_words long, target_loss double, background_loss double"
 BROADCAST_IDS = 2_000_000
 MERGE = 2_000_000
+FREQUENT = 1e-6
+# What a row asks for: a bigram, a bigram and its rare word, a rare first word; or it is of a document.
+BIGRAM, WORD, BEFORE, DOCUMENT, NO_ID = range(5)
+_SALT = np.random.default_rng(7).integers(1, 1 << 63, 4, dtype=np.uint64)
+
+
+def _salted(hashes: np.ndarray, kind: int) -> np.ndarray:
+    return mixed(hashes + _SALT[kind])
 
 
 @dataclass
 class Vocabulary:
-    """Sorted word hashes; a word's place is its number, the unknown word and the text start follow."""
+    """Sorted hashes of frequent words; a word's place is its number, any other word and the text start follow."""
 
     words: np.ndarray
 
@@ -60,7 +75,10 @@ class Vocabulary:
 
 @dataclass
 class Models:
-    """Both models: word chances, sorted bigram keys with counts, counts of bigrams by their first word."""
+    """Both models: frequent words, their chances, sorted keys of frequent bigrams with counts, counts of first words.
+
+    `cut_words`: all other words are one unknown word. `cut_bigrams`: other bigrams count as not seen.
+    """
 
     vocabulary: Vocabulary
     chance: np.ndarray
@@ -68,16 +86,57 @@ class Models:
     counts: np.ndarray
     before: np.ndarray
     weight: float
-
-    def losses(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """(2, words): background and target loss of each word in nats."""
+    below: np.ndarray  # N + V + 1 of both models
+    cut_words: bool
+    cut_bigrams: bool
+
+    def asks(self, hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        """(2, texts): sums of what frequent n-grams settle; and (kind, text, g, s, word number) for the rest."""
+        before, word = self.vocabulary.bigrams(hashes, firsts)
+        n_texts = len(firsts) - 1
+        text = np.repeat(np.arange(n_texts), np.diff(firsts))
+        other = len(self.vocabulary.words)
         key = (before << 32) | word
         if len(self.keys):
             place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            count = self.counts[:, place] * (self.keys[place] == key)
+            seen = self.keys[place] == key
+            count = self.counts[:, place] * seen
         else:
-            count = np.zeros((2, len(key)))
-        return -np.log((count + self.weight * self.chance[:, word]) / (self.before[:, before] + self.weight))
+            seen, count = np.zeros(len(key), bool), np.zeros((2, len(key)))
+        rare_word = np.zeros(len(key), bool) if self.cut_words else word == other
+        rare_before = np.zeros(len(key), bool) if self.cut_words or self.cut_bigrams else before == other
+        settled = ~rare_word if self.cut_bigrams else seen & ~rare_word
+        loss = np.zeros((2, len(key)))
+        at = np.flatnonzero(settled)
+        loss[:, at] = -np.log(count[:, at] + self.weight * self.chance[:, word[at]])
+        at = np.flatnonzero(~rare_before)
+        loss[:, at] += np.log(self.before[:, before[at]] + self.weight)
+        # The hash of the word before, where that is rare, else its number.
+        previous = np.concatenate([hashes[:1], hashes[:-1]])
+        code = before.astype(np.uint64)
+        if not self.cut_words:
+            code = np.where(before == other, previous, code)
+        out = []
+        at = np.flatnonzero(~settled & ~rare_word)
+        pair = mixed(_salted(code[at], BIGRAM) + word[at].astype(np.uint64))
+        out.append((BIGRAM, text[at], pair, np.zeros(len(at), np.uint64), word[at]))
+        at = np.flatnonzero(rare_word)
+        out.append((WORD, text[at], _salted(hashes[at], WORD), code[at], np.zeros(len(at), np.int64)))
+        at = np.flatnonzero(rare_before)
+        out.append((BEFORE, text[at], _salted(previous[at], BEFORE), np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)))
+        return np.stack([np.bincount(text, x, n_texts) for x in loss]).astype(np.float64), out
+
+    def answers(self, kind: np.ndarray, number: np.ndarray, of_g: np.ndarray, of_s: np.ndarray) -> np.ndarray:
+        """(2, asks): the loss of one occurrence, from the counts (2, asks) of g and of (g, s)."""
+        out = np.zeros(of_g.shape)
+        at = np.flatnonzero(kind == BIGRAM)
+        out[:, at] = -np.log(of_g[:, at] + self.weight * self.chance[:, number[at]])
+        at = np.flatnonzero(kind == WORD)
+        seen = 0 if self.cut_bigrams else of_s[:, at]
+        out[:, at] = -np.log(seen + self.weight * (of_g[:, at] + 1) / self.below[:, None])
+        at = np.flatnonzero(kind == BEFORE)
+        out[:, at] = np.log(of_g[:, at] + self.weight)
+        return out
 
 
 def _hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +144,8 @@ def _hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return range_hashes(LOWER[data], start, end), firsts
 
 
-def _counted(flagged: DataFrame, keys_of) -> DataFrame:
-    """Counts of the keys of all words: in all documents, and in the target ones."""
+def _counted(docs: DataFrame, keys_of) -> DataFrame:
+    """Counts of keys, in all documents and in the target ones; `keys_of` gives keys and the text of each."""
 
     def merged(parts):
         keys = np.concatenate([p[0] for p in parts])
@@ -105,8 +164,9 @@ def _counted(flagged: DataFrame, keys_of) -> DataFrame:
             target = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b in groups(bounds):
                 hashes, firsts = _hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                keys, at = np.unique(keys_of(hashes, firsts), return_inverse=True)
-                of_target = np.repeat(target[a:b], np.diff(firsts))
+                every, text = keys_of(hashes, firsts)
+                keys, at = np.unique(every, return_inverse=True)
+                of_target = target[a:b][text]
                 parts.append((keys, np.bincount(at, minlength=len(keys)), np.bincount(at, of_target, len(keys)).astype(np.int64)))
                 held += len(keys)
                 if held > MERGE:
@@ -118,77 +178,169 @@ def _counted(flagged: DataFrame, keys_of) -> DataFrame:
         if parts:
             yield rows(merged(parts))
 
-    found = flagged.select("target", "text").mapInArrow(run, COUNTS)
+    found = docs.select("target", "text").mapInArrow(run, COUNTS)
     return found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
-def _frequent(counts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys with at least `share` of all counts, their counts, and the totals."""
-    total = counts.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-    totals = np.array([total.n or 0, total.t or 0], np.float64)
-    kept = counts.where(F.col("n") >= share * totals[0]).toArrow()  # at most 1 / share rows
+def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with counts of at least `least`, and their counts."""
+    kept = counts.where(F.col("n") >= least).toArrow()  # at most all / least rows
     keys = kept.column("key").to_numpy()
     order = np.argsort(keys)
-    return keys[order], np.stack([kept.column(c).to_numpy()[order] for c in ("n", "t")]).astype(np.float64), totals
+    return keys[order], np.stack([kept.column(c).to_numpy()[order] for c in ("n", "t")]).astype(np.float64)
+
+
+def _texts(firsts: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+
+
+def _ends(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last word of each text that has words."""
+    text = np.flatnonzero(np.diff(firsts))
+    return hashes[firsts[1:][text] - 1].view(np.int64), text
 
 
-def train(docs: DataFrame, target_ids: DataFrame, word_share: float, bigram_share: float, weight: float) -> Models:
-    """Count all documents of `docs`, those with an id in `target_ids` for the target as well."""
+def flagged(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """(doc_id, target, text) of all documents."""
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     ids = stored(ids.withColumn("target", F.lit(True)), "target-ids")
     # Few ids go to all tasks; beyond the limit a shuffle brings them together with the documents.
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    flagged = (
+    return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(side, "doc_id", "left")
-        .select(F.coalesce("target", F.lit(False)).alias("target"), "text")
+        .select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
     )
-    words = stored(_counted(flagged, lambda h, _: h.view(np.int64)), "words")
-    keys, counts, totals = _frequent(words, word_share)
+
+
+def train(docs: DataFrame, word_share: float, bigram_share: float, weight: float) -> Models:
+    """What tasks are given of both models, from all flagged documents."""
+    words = stored(_counted(docs, lambda h, firsts: (h.view(np.int64), _texts(firsts))), "words")
+    total = words.agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.count("*").alias("words")).first()
+    totals = np.array([total.n or 0, total.t or 0], np.float64)
+    # A frequent bigram has frequent words.
+    share = word_share or min(FREQUENT, bigram_share or FREQUENT)
+    keys, counts = _frequent(words, share * totals[0])
     order = np.argsort(keys.view(np.uint64))
     vocabulary = Vocabulary(keys.view(np.uint64)[order])
+    size = len(vocabulary.words)
     unknown = (totals - counts.sum(1))[:, None]
     counts = np.concatenate([counts[:, order], unknown], 1)
-    chance = (counts + 1) / (totals[:, None] + len(vocabulary.words) + 1)
+    below = totals + (size if word_share else total.words) + 1
+    chance = (counts + 1) / below[:, None]
 
     def pair_keys(hashes, firsts):
         before, word = vocabulary.bigrams(hashes, firsts)
-        return (before << 32) | word
+        key, text = (before << 32) | word, _texts(firsts)
+        if not word_share:
+            both = (before != size) & (word != size)
+            key, text = key[both], text[both]
+        return key, text
+
+    pairs, together = _frequent(_counted(docs, pair_keys), (bigram_share or FREQUENT) * totals[0])
+    if bigram_share:
+        before = np.stack([np.bincount(pairs >> 32, c, size + 2) for c in together])
+    else:
+        # A word is before another wherever it is not the last; every text with words has a start.
+        last = stored(_counted(docs, _ends), "last-words")
+        texts = last.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        ends, of_end = _frequent(last.join(words.where(F.col("n") >= share * totals[0]).select("key"), "key", "left_semi"), 0)
+        texts = np.array([texts.n or 0, texts.t or 0], np.float64)
+        gone = np.stack([np.bincount(vocabulary.number(ends.view(np.uint64)), c, size + 1) for c in of_end])
+        gone[:, size] = texts - gone.sum(1)
+        before = np.concatenate([counts - gone, texts[:, None]], 1)
+    return Models(vocabulary, chance, pairs, together, before, weight, below, bool(word_share), bool(bigram_share))
+
+
+def _asked(docs: DataFrame, models: Models) -> DataFrame:
+    """One row per document with the losses of frequent n-grams, and one per document and other n-gram."""
+
+    def rows(kind, row, target, g, s, number, n, losses=None):
+        info = (number << 35) | (n << 4) | (target << 3) | kind
+        losses = np.zeros((2, len(row))) if losses is None else losses
+        columns = [g.view(np.int64), s.view(np.int64), row, info, losses[1], losses[0]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[c.split()[0] for c in ASKS.split(", ")])
 
-    pairs, together, _ = _frequent(stored(_counted(flagged, pair_keys), "bigrams"), bigram_share)
-    size = len(vocabulary.words) + 2
-    before = np.stack([np.bincount(pairs >> 32, c, size) for c in together])
-    return Models(vocabulary, chance, pairs, together, before, weight)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, ids = batch.column(0).to_numpy(), batch.column(1)
+            doc_id = ids.fill_null(0).to_numpy()
+            null = ids.is_null().to_numpy(zero_copy_only=False)
+            target = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            data, bounds = text_bytes(batch.column(3))
+            for a, b in groups(bounds):
+                hashes, firsts = _hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+                losses, asks = models.asks(hashes, firsts)
+                kind = np.where(null[a:b], NO_ID, DOCUMENT)
+                own = row[a:b]
+                yield rows(kind, own, target[a:b], mixed(own.view(np.uint64)), doc_id[a:b], np.zeros(b - a, np.int64), np.diff(firsts), losses)
+                for kind, text, g, s, number in asks:
+                    order = np.lexsort((s, g, text))
+                    text, g, s, number = text[order], g[order], s[order], number[order]
+                    new = np.ones(len(text), bool)
+                    new[1:] = (text[1:] != text[:-1]) | (g[1:] != g[:-1]) | (s[1:] != s[:-1])
+                    at = np.flatnonzero(new)
+                    n = np.diff(np.append(at, len(text)))
+                    if len(at):
+                        yield rows(kind, own[text[at]], target[a:b][text[at]], g[at], s[at], number[at], n)
+
+    # The number of a row lasts only from here to the sums of the same run.
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "text")
+    return numbered.mapInArrow(run, ASKS)
+
+
+def _sums(starts: np.ndarray, n: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """(2, rows): sums of `n`, and of `n` in the target, over the run of rows that each row is in."""
+    length = np.diff(np.append(starts, len(n)))
+    return np.stack([np.repeat(np.add.reduceat(x, starts), length) for x in (n, n * target)]).astype(np.float64)
 
 
 def score(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, difference): mean losses of each document."""
+    """(doc_id, n_words, target_loss, background_loss, difference): mean losses of each flagged document."""
+
+    def answered(g, s, row, info, target_loss, background_loss):
+        kind, target, n, number = info & 7, (info >> 3) & 1, (info >> 4) & 0x7FFFFFFF, info >> 35
+        new = np.append(True, g[1:] != g[:-1])
+        sub = new | np.append(True, s[1:] != s[:-1])
+        of_g, of_s = (_sums(np.flatnonzero(x), n, target) for x in (new, sub))
+        back, goal = models.answers(kind, number, of_g, of_s) * n
+        is_document = (kind == DOCUMENT) | (kind == NO_ID)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(row),
+                pa.array(s, mask=kind != DOCUMENT),
+                pa.array(n, mask=~is_document),
+                pa.array(goal + target_loss),
+                pa.array(back + background_loss),
+            ],
+            names=[c.split()[0] for c in PARTS.split(", ")],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            data, bounds = text_bytes(batch.column(1))
-            for a, b in groups(bounds):
-                hashes, firsts = _hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                n = np.diff(firsts)
-                loss = models.losses(*models.vocabulary.bigrams(hashes, firsts))
-                row = np.repeat(np.arange(b - a), n)
-                with np.errstate(invalid="ignore"):
-                    back, target = (np.bincount(row, x, b - a) / n for x in loss)
-                none = n == 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(a, b - a),
-                        pa.array(n),
-                        *(pa.array(x, pa.float64(), mask=none) for x in (target, back, target - back)),
-                    ],
-                    names=["doc_id", "n_words", "target_loss", "background_loss", "difference"],
-                )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORES)
+            if not batch.num_rows:
+                continue
+            now = [c.to_numpy() for c in batch.columns]
+            if held is not None:
+                now = [np.concatenate([x, y]) for x, y in zip(held, now, strict=True)]
+            first = int(np.searchsorted(now[0], now[0][-1]))  # the last group may go on
+            if first:
+                yield answered(*(x[:first] for x in now))
+            held = [x[first:] for x in now]
+        if held is not None:
+            yield answered(*held)
+
+    parts = _asked(docs, models).repartition("g").sortWithinPartitions("g", "s").mapInArrow(run, PARTS)
+    names = ("target_loss", "background_loss")
+    sums = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *(F.sum(c).alias(c) for c in names))
+    means = {c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")) for c in names}
+    return sums.withColumns(means).select("doc_id", "n_words", *names, (F.col(names[0]) - F.col(names[1])).alias("difference"))
 
 
 def cross_entropy_difference(
-    docs: DataFrame, target_ids: DataFrame, word_share: float = 2e-6, bigram_share: float = 1e-6, weight: float = 50.0
+    docs: DataFrame, target_ids: DataFrame, word_share: float = 0.0, bigram_share: float = 0.0, weight: float = 50.0
 ) -> DataFrame:
     """Scores of all documents against the documents of `target_ids` (doc_id)."""
-    return score(docs, train(docs, target_ids, word_share, bigram_share, weight))
+    both = flagged(docs, target_ids)
+    return score(both, train(both, word_share, bigram_share, weight))

@@ -8,7 +8,10 @@ share one among the first n - ceil(t n) + 1 of this order, so classes are candid
 meet under such a prefix shingle, their sizes allow the similarity, and so do their
 places in the order at the shingle where they meet.
 
-The result needs the components of links, not each link, so pairs inside a component are left out:
+`links` gives every link between classes, `linked_documents` what follows from them for each document.
+In a group of many near copies of different texts their number is the square of its size.
+
+`near_duplicates` needs the components of links, not each link, so it leaves out pairs inside a component:
 first each class meets only a few pivots of the largest groups it is in; once what links has merged,
 the rest meets everything of other components that shares a prefix shingle with it, without
 exception. No link between different components is lost, and a group of thousands of near copies
@@ -219,21 +222,91 @@ def _meeting(left: DataFrame, right: DataFrame, percent: int, extra) -> DataFram
     return x.join(y, meet).select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: tuple[int, ...] = (8, 64)) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def _shared(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, c) of all documents; (token, c, pos, n): prefix shingles that several classes have."""
     measured = stored(_measure(docs, size), "shingle-counts")
     rows = measured.where("chunk is null").select("doc_id", "n", "c")
     sizes = rows.where("c <> 0").select("c", "n").distinct()
-    levels = _levels(measured)
     # One shuffle of all prefixes; what only one class has goes before anything else is done.
     own = Window.partitionBy("token")
-    met = _prefixes(docs, levels, size, percent).select(
+    met = _prefixes(docs, _levels(measured), size, percent).select(
         "token", "c", "pos", F.min("c").over(own).alias("lo"), F.max("c").over(own).alias("hi")
     )
-    shared = stored(
-        met.where("lo <> hi").select("token", "c", "pos").distinct().join(sizes, "c").select("token", "c", "pos", "n"),
-        "shared-prefixes",
+    shared = met.where("lo <> hi").select("token", "c", "pos").distinct().join(sizes, "c").select("token", "c", "pos", "n")
+    return rows, stored(shared, "shared-prefixes")
+
+
+def _found(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The stored pairs (a, b) that link."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "pair-classes")
+    sets = stored(_sets_of(docs, wanted, size), "pair-sets", "uncompressed")
+    return stored(_verified(pairs, sets, percent), "links")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(id, component) of the classes that link."""
+    return stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
+
+
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """`rows` (doc_id, n, c, ..) as (doc_id, n_shingles, component_id, ..)."""
+    more = [x for x in rows.columns if x not in ("doc_id", "n", "c")]
+    named = rows.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").withColumn(
+        "component", F.coalesce("component", "c")
     )
+    full = named.where("c <> 0")
+    smallest = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return (
+        full.join(smallest, "component")
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", *more)
+        .unionByName(
+            named.where("c = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *more)
+        )
+    )
+
+
+def _every_link(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, c) of all documents, and all links (a, b) between their classes, a < b."""
+    rows, shared = _shared(docs, size, percent)
+    every = shared.withColumn("component", F.col("c")).withColumn("rest", F.lit(True))
+    pairs = stored(_meeting(every, every, percent, lambda x, y, rest: x < y), "pairs")
+    return rows, _found(docs, pairs, size, percent)
+
+
+def _members(rows: DataFrame) -> DataFrame:
+    """(c, doc_id, n_docs): the smallest id of each class with shingles, and its number of rows."""
+    return rows.where("c <> 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"))
+
+
+def links(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """(doc_a, doc_b, n_docs_a, n_docs_b): each link between two classes of equal sets, once.
+
+    A class is named by its smallest id and comes with its number of rows, all of which link with each other
+    and with all of the other class.
+    """
+    rows, found = _every_link(docs, size, percent)
+    members = _members(rows)
+    for k in "ab":
+        named = members.select(F.col("c").alias(k), F.col("doc_id").alias(f"doc_{k}"), F.col("n_docs").alias(f"n_docs_{k}"))
+        found = found.join(named, k)
+    return found.select("doc_a", "doc_b", "n_docs_a", "n_docs_b")
+
+
+def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of every document: how many other rows it links with."""
+    rows, found = _every_link(docs, size, percent)
+    members = _members(rows).select("c", "n_docs")
+    ends = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(members.withColumnRenamed("c", "b"), "b").groupBy("a").agg(F.sum("n_docs").alias("others"))
+    per = members.join(others.withColumnRenamed("a", "c"), "c", "left")
+    per = per.select("c", (F.col("n_docs") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    counted = rows.join(per, "c", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    return _named(counted, _labels(found))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: tuple[int, ...] = (8, 64)) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    rows, shared = _shared(docs, size, percent)
     # The two largest groups that a class is in; classes of a large group of copies agree on them.
     per = shared.groupBy("token").agg(F.count("*").alias("group"))
     order = Window.partitionBy("c").orderBy(F.desc("group"), "token")
@@ -241,7 +314,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: t
         shared.join(per, "token").withColumn("k", F.row_number().over(order)).where("k <= 2").select("token", "c", "pos", "n"),
         "hub-prefixes",
     )
-    links, labels, done = None, None, None
+    linking, labels, done = None, None, None
     for k in (*pivots, None):
         base = shared if k is None else hubs
         if labels is not None:
@@ -264,24 +337,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: t
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "pair-classes")
-        sets = stored(_sets_of(docs, wanted, size), "pair-sets", "uncompressed")
-        found = stored(_verified(pairs, sets, percent), "links")
+        found = _found(docs, pairs, size, percent)
         done = pairs if done is None else done.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = stored(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
-    named = rows.join(labels.select(F.col("id").alias("c"), "component"), "c", "left").select(
-        "doc_id", "n", "c", F.coalesce("component", "c").alias("component")
-    )
-    full = named.where("c <> 0")
-    smallest = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return (
-        full.join(smallest, "component")
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(
-            named.where("c = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-        )
-    )
+        linking = found if linking is None else linking.unionByName(found)
+        labels = _labels(linking)
+    return _named(rows, labels)
 
 
 def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:

@@ -80,6 +80,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op1_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of links, and component, of all documents, from every link."""
+    return ngram_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as Huffman coded token files, then read back."""
     files = token_output.write_tokens(
@@ -143,6 +148,7 @@ def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
+        "op1_ngram_links": op1_ngram_links,
         "op2_token_files": op2_token_files,
         "op3_chat_format": op3_chat_format,
         "op4_pii_spans": op4_pii_spans,

@@ -5,7 +5,7 @@ is itself a token. Tier two, for the rest: the bytes form a linked list, and a h
 of each adjacent pair; the lowest rank, leftmost first, is merged until no pair has a rank.
 
 A text is cut before each ASCII white space that follows something else, which the split pattern
-never joins; each distinct piece of a task is then split and encoded once.
+never joins; each distinct piece is then split and encoded once while a worker remembers it.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm.pieces import MOST_BYTES, Pieces
 from tallyline.llm.text_arrays import WHITE, groups, mixed, range_hashes, text_bytes
 
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
@@ -168,64 +169,30 @@ def piece_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Encoder:
-    """Ids of pieces, kept between batches in sorted arrays of at most `most` pieces."""
+    """Ids of texts; pieces are remembered between batches, in about `most` bytes."""
 
-    def __init__(self, path: str, pattern: str, most: int = 1_000_000):
+    def __init__(self, path: str, pattern: str, most: int = MOST_BYTES):
         ranks = load_ranks(path)
         self.whole = PerfectHash(ranks)
         self.parts = BytePairs(ranks)
         self.split = regex.compile(pattern)
-        self.most = most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in turn, and how many each has."""
-        split = [self.split.findall(p) for p in pieces]
+        self.pieces = Pieces(self._encode, most)
+
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece."""
+        split = [self.split.findall(p.decode("utf-8")) for p in pieces]
         tokens = list(dict.fromkeys(t for own in split for t in own))
         strings = [t.encode("utf-8") for t in tokens]
         found = self.whole.find(strings).tolist()
         merge = self.parts.encode
-        ids = {t: ((i,) if i >= 0 else merge(s)) for t, s, i in zip(tokens, strings, found, strict=True)}
-        out: list[int] = []
-        count = np.zeros(len(pieces), np.int64)
-        for k, own in enumerate(split):
-            before = len(out)
-            for t in own:
-                out += ids[t]
-            count[k] = len(out) - before
-        return np.array(out, np.uint32), count
+        ids = {t: ([i] if i >= 0 else merge(s)) for t, s, i in zip(tokens, strings, found, strict=True)}
+        return [[i for t in own for i in ids[t]] for own in split]
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in turn, and the ids each text begins at (one entry more)."""
         start, end, firsts = piece_bounds(data, bounds)
-        keys, example, which = np.unique(range_hashes(data, start, end), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.most:
-            self._clear()
-        place = np.searchsorted(self.keys, keys)
-        known = place < len(self.keys)
-        known[known] = self.keys[place[known]] == keys[known]
-        missing = np.flatnonzero(~known)
-        if len(missing):
-            raw = data.tobytes()
-            a, b = start[example[missing]].tolist(), end[example[missing]].tolist()
-            ids, count = self._encode([raw[x:y].decode("utf-8") for x, y in zip(a, b, strict=True)])
-            at = place[missing]
-            self.keys = np.insert(self.keys, at, keys[missing])
-            self.first = np.insert(self.first, at, len(self.ids) + np.cumsum(count) - count)
-            self.count = np.insert(self.count, at, count)
-            self.ids = np.concatenate([self.ids, ids])
-            place = np.searchsorted(self.keys, keys)
-        count = self.count[place][which]
-        upto = np.zeros(len(count) + 1, np.int64)
-        np.cumsum(count, out=upto[1:])
-        source = np.repeat(self.first[place][which] - upto[:-1], count) + np.arange(upto[-1])
-        return self.ids[source], upto[firsts]
+        ids, upto = self.pieces.ids(data, start, end)
+        return ids, upto[firsts]
 
 
 class Decoder:
@@ -257,6 +224,38 @@ def _tool(kind: type, *made_of: str):
     return _TOOLS[kind, *made_of]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, n_tokens, ids) of batches (doc_id, text)."""
+    tool = _tool(Encoder, ranks, pattern)
+    for batch in batches:
+        data, bounds = text_bytes(batch.column(1))
+        for a, b in groups(bounds, 1 << 20):
+            ids, firsts = tool.encode(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+            lists = pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a), pa.array(np.diff(firsts), pa.int64()), lists],
+                names=["doc_id", "n_tokens", "ids"],
+            )
+    pa.default_memory_pool().release_unused()
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], ranks: str) -> Iterator[pa.RecordBatch]:
+    """Batches (doc_id, n_tokens, ids) with the bytes of their ids."""
+    tool = _tool(Decoder, ranks)
+    for batch in batches:
+        lists = batch.column(2)
+        ids, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column(1).to_numpy())])
+        bodies = [tool.decode(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(k) for k in range(3)), pa.array(bodies, pa.binary())],
+            names=["doc_id", "n_tokens", "ids", "decoded"],
+        )
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids) of each whole text.
 
@@ -264,37 +263,20 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     as empty and has no ids; null or repeated document ids stay as they are, each row on its own;
     an empty table gives none. Extra columns are not read.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = _tool(Encoder, ranks, pattern)
-        for batch in batches:
-            data, bounds = text_bytes(batch.column(1))
-            for a, b in groups(bounds, 2 << 20):
-                ids, firsts = tool.encode(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                lists = pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(firsts), pa.int64()), lists],
-                    names=["doc_id", "n_tokens", "ids"],
-                )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ENCODED)
+    return _texts(docs).mapInArrow(lambda batches: _encoded(batches, ranks, pattern), ENCODED)
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """`encoded` with the bytes of its ids as `decoded`."""
+    rows = encoded.select("doc_id", "n_tokens", "ids")
+    return rows.mapInArrow(lambda batches: _decoded(batches, ranks), f"{ENCODED}, decoded binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = _tool(Decoder, ranks)
-        for batch in batches:
-            lists = batch.column(2)
-            ids, cuts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(batch.column(1).to_numpy())])
-            bodies = [tool.decode(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(3)), pa.array(bodies, pa.binary())],
-                names=["doc_id", "n_tokens", "ids", "decoded"],
-            )
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, f"{ENCODED}, decoded binary")
+def encode_decode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """What `decode` gives of `encode`, in one Python worker a task instead of two."""
+    return _texts(docs).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, ranks, pattern), ranks), f"{ENCODED}, decoded binary"
+    )
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -131,8 +131,7 @@ def op7_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by byte-level BPE ranks and decoded again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
+    return byte_bpe.digests(byte_bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
 def op9_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,18 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WINDOW = 1 << 20
-_MULTIPLIER = 0x9E3779B97F4A7C15
-
-
-def _powers(base: int) -> np.ndarray:
-    factors = np.full(WINDOW + 1, base, np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors, dtype=np.uint64)
-
-
-_UP = _powers(_MULTIPLIER)
-_DOWN = _powers(pow(_MULTIPLIER, -1, 1 << 64))
-_BYTE = np.random.default_rng(20).integers(1, 1 << 64, 256, dtype=np.uint64)
+# Fixed odd numbers that keep positions and lengths apart.
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
+_LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -75,21 +66,35 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range; ranges ascend and do not overlap."""
+    """A 64-bit hash of each byte range; ranges ascend and do not overlap.
+
+    A range is read in lanes of eight bytes. Each lane is mixed with its place before the lanes are
+    added up, so that no arrangement of equal lanes cancels out.
+    """
     out = np.zeros(len(start), np.uint64)
     first = 0
     while first < len(start):
-        base = start[first]
+        base = int(start[first])
         last = int(np.searchsorted(end, base + WINDOW, "right"))
         if last <= first:  # longer than a window
-            piece = data[base : end[first]].tobytes()
-            out[first] = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little")
+            out[first] = int.from_bytes(hashlib.blake2b(data[base : end[first]], digest_size=8).digest(), "little")
             first += 1
             continue
-        values = _BYTE[data[base : end[last - 1]]]
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * _UP[: len(values)], out=sums[1:])
-        a, b = start[first:last] - base, end[first:last] - base
-        out[first:last] = mixed((sums[b] - sums[a]) * _DOWN[a] + (b - a).astype(np.uint64))
+        out[first:last] = _lane_hashes(data[base : end[last - 1]], start[first:last] - base, end[first:last] - base)
         first = last
     return out
+
+
+def _lane_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of one window."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    size = end - start
+    lanes = np.maximum(1, (size + 7) >> 3)
+    begin = np.cumsum(lanes) - lanes
+    place = np.arange(int(lanes.sum())) - np.repeat(begin, lanes)
+    at = np.repeat(start, lanes) + 8 * place
+    rest = np.minimum(np.repeat(end, lanes) - at, 8)
+    kept = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 9))], np.uint64)
+    value = mixed((eight[at] & kept[rest]) + (place + 1).astype(np.uint64) * _PLACE)
+    return mixed(np.add.reduceat(value, begin) + size.astype(np.uint64) * _LENGTH)

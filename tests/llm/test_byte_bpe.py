@@ -55,6 +55,14 @@ def test_long_texts_and_a_full_cache(library):
         assert ids_of(small, texts) == [library.encode_ordinary(t or "") for t in texts]
 
 
+def test_words_that_differ_in_their_arrangement_alone(tool, library):
+    one = "a"
+    while len(one) < 4096:
+        one += one.translate(str.maketrans("ab", "ba"))
+    texts = [one, one.translate(str.maketrans("ab", "ba")), f"x {one}", "x " + one[::-1][:3000]]
+    assert ids_of(tool, texts) == [library.encode_ordinary(t) for t in texts]
+
+
 def test_decoding_restores_bytes(tool):
     texts = ["naïve — 漢字", "", "a\x00b"]
     ids, firsts = tool.encode(*text_bytes(pa.array(texts)))

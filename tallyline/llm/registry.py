@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, chat_format, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, token_output
+from tallyline.llm import byte_bpe, chat_format, forced_bpe, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, token_output
 from tallyline.llm.storage import stored, table
 
 
@@ -144,6 +144,12 @@ def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by a byte-level tokenizer file and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return forced_bpe.digests(forced_bpe.encode_decode(table(spark, sf_dir, "documents"), path))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -157,6 +163,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_itq_dedup": op9_itq_dedup,
         "op10_hamming_top_k": op10_hamming_top_k,
+        "op12_forced_bpe": op12_forced_bpe,
     }
 
 

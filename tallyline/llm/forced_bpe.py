@@ -28,6 +28,8 @@ from tallyline.llm.text_arrays import WHITE, groups, text_bytes
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
 # Fragments of more bytes are merged with a heap.
 SHORT = 64
+# Pieces that go to the pre-tokenizer in one string.
+RUN = 500
 _NEVER = 1 << 62
 
 
@@ -58,10 +60,11 @@ class Vocabulary:
         for token, spelling in spelled.items():
             if len(spelling) == 1:
                 self.byte[spelling[0]] = ids[token]
-        self.merges: dict[int, tuple[int, int]] = {}
+        # (left id, right id) -> rank and merged id, each pair and each result as one number.
+        self.merges: dict[int, int] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault(ids[a] << 32 | ids[b], (rank, ids[a + b]))
+            self.merges.setdefault(ids[a] << 32 | ids[b], rank << 32 | ids[a + b])
         self.special: dict[bytes, int] = {}
         tokens = {ids[t]: s for t, s in spelled.items()}
         for added in file["added_tokens"]:
@@ -79,47 +82,47 @@ class Vocabulary:
             self.inside[both[:-1], both[1:]] = True
 
 
-def merge_short(ids: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
+def merge_short(ids: list[int], merges: dict[int, int]) -> list[int]:
     """Merge `ids` in place: the pair of lowest rank, leftmost first, until none has a rank."""
-    none = (_NEVER, 0)
-    ranks = [merges.get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+    find = merges.get
+    ranks = [find(a << 32 | b, _NEVER) for a, b in zip(ids, ids[1:])]
     while ranks:
         best = min(ranks)
-        if best is none:
+        if best == _NEVER:
             break
         i = ranks.index(best)
-        ids[i : i + 2] = [best[1]]
+        ids[i : i + 2] = [best & 0xFFFFFFFF]
         del ranks[i]
         if i:
-            ranks[i - 1] = merges.get(ids[i - 1] << 32 | ids[i], none)
+            ranks[i - 1] = find(ids[i - 1] << 32 | ids[i], _NEVER)
         if i < len(ranks):
-            ranks[i] = merges.get(ids[i] << 32 | ids[i + 1], none)
+            ranks[i] = find(ids[i] << 32 | ids[i + 1], _NEVER)
     return ids
 
 
-def merge_long(ids: list[int], merges: dict[int, tuple[int, int]]) -> list[int]:
+def merge_long(ids: list[int], merges: dict[int, int]) -> list[int]:
     """What :func:`merge_short` gives, in n log n steps: a heap over the ends of growing tokens.
 
     `stop[i]` is where the token that begins at i ends, `begin[e]` where the one that ends at e begins.
     """
     n = len(ids)
     stop, begin = list(range(1, n + 1)), list(range(-1, n))
-    heap = []
+    heap: list[tuple[int, int, int, int]] = []
 
     def offer(i: int) -> None:
         """Offer the pair whose left token begins at i."""
         j = stop[i]
         if j < n and (found := merges.get(ids[i] << 32 | ids[j])) is not None:
-            heapq.heappush(heap, (found[0], i, j, stop[j], found[1]))
+            heapq.heappush(heap, (found, i, j, stop[j]))
 
     for i in range(n - 1):
         offer(i)
     while heap:
-        _, i, j, end, merged = heapq.heappop(heap)
+        found, i, j, end = heapq.heappop(heap)
         # Both tokens must still be what they were: as long as their ends are, they are.
-        if stop[i] != j or j < 0 or stop[j] != end:
+        if stop[i] != j or stop[j] != end:
             continue
-        ids[i], ids[j] = merged, -1
+        ids[i], ids[j] = found & 0xFFFFFFFF, -1
         stop[i], stop[j], begin[end] = end, -1, i
         offer(i)
         if i:
@@ -141,46 +144,63 @@ class Encoder:
         # Forced pairs at which the split into pre-tokens ends, too.
         self.apart = ~self.vocabulary.inside & printable[:, None] & WHITE[None, :]
 
-    def fragments(self, token: bytes) -> list[bytes]:
-        """A pre-token cut at every forced pair."""
-        inside = self.vocabulary.inside
-        if len(token) < 2:
-            return [token]
-        both = np.frombuffer(token, np.uint8)
-        cuts = (np.flatnonzero(~inside[both[:-1], both[1:]]) + 1).tolist()
-        return [token[a:b] for a, b in zip([0, *cuts], [*cuts, len(token)], strict=True)]
+    def pre_tokens(self, pieces: list[bytes]) -> tuple[list[bytes], list[int]]:
+        """The pre-tokens of all pieces in turn, and how many each has.
+
+        Pieces that begin and end like certain cuts can stand one after the other in one string,
+        which saves a call for each.
+        """
+        tokens: list[list[bytes]] = [[] for _ in pieces]
+        run: list[int] = []
+        for k, piece in enumerate(pieces):
+            if piece in self.vocabulary.special:
+                tokens[k] = [piece]
+            elif WHITE[piece[0]] and 0x21 <= piece[-1] < 0x7F:
+                run.append(k)
+            else:
+                text = piece.decode("utf-8")
+                tokens[k] = [text[a:b].encode("utf-8") for _, (a, b) in self.split(text)]
+        for first in range(0, len(run), RUN):
+            own = run[first : first + RUN]
+            texts = [pieces[k].decode("utf-8") for k in own]
+            joined = "".join(texts)
+            spans = [span for _, span in self.split(joined)]
+            bounds = np.cumsum([0, *map(len, texts)])
+            cuts = np.searchsorted([a for a, _ in spans], bounds).tolist()
+            found = [joined[a:b].encode("utf-8") for a, b in spans]
+            for k, a, b in zip(own, cuts[:-1], cuts[1:], strict=True):
+                tokens[k] = found[a:b]
+        return [t for own in tokens for t in own], [len(own) for own in tokens]
+
+    def fragments(self, tokens: list[bytes]) -> tuple[list[bytes], list[int]]:
+        """Pre-tokens cut at every forced pair: all fragments in turn, and where each pre-token's begin."""
+        blob = b"".join(tokens)
+        data = np.frombuffer(blob, np.uint8)
+        bounds = np.cumsum([0, *map(len, tokens)])
+        cut = np.ones(len(data) + 1, bool)
+        if len(data):
+            cut[1:-1] = ~self.vocabulary.inside[data[:-1], data[1:]]
+        cut[bounds] = True
+        at = np.flatnonzero(cut)
+        ends = at.tolist()
+        return [blob[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], np.searchsorted(at, bounds).tolist()
 
     def _encode(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece."""
         special, byte, merges = self.vocabulary.special, self.vocabulary.byte, self.vocabulary.merges
-        # One pass over the bytes of all pre-tokens finds the forced pairs of all pieces.
-        tokens: list[bytes] = []
-        counts = []
-        for piece in pieces:
-            if piece in special:
-                tokens.append(piece)
-                counts.append(1)
-                continue
-            text = piece.decode("utf-8")
-            spans = self.split(text)
-            tokens += [text[a:b].encode("utf-8") for _, (a, b) in spans]
-            counts.append(len(spans))
-        known: dict[bytes, list[int]] = {}
-        for token in dict.fromkeys(tokens):
-            if token in special:
-                known[token] = [special[token]]
-                continue
-            out: list[int] = []
-            for part in self.fragments(token):
-                ids = [byte[b] for b in part]
-                out += merge_short(ids, merges) if len(ids) <= SHORT else merge_long(ids, merges)
-            known[token] = out
+        tokens, counts = self.pre_tokens(pieces)
+        known = {t: [special[t]] for t in tokens if t in special}
+        distinct = [t for t in dict.fromkeys(tokens) if t not in known]
+        parts, firsts = self.fragments(distinct)
+        merged = {}
+        for part in dict.fromkeys(parts):
+            ids = [byte[b] for b in part]
+            merged[part] = merge_short(ids, merges) if len(ids) <= SHORT else merge_long(ids, merges)
+        for token, a, b in zip(distinct, firsts[:-1], firsts[1:], strict=True):
+            known[token] = [i for part in parts[a:b] for i in merged[part]]
         found, at = [], 0
         for n in counts:
-            own: list[int] = []
-            for token in tokens[at : at + n]:
-                own += known[token]
-            found.append(own)
+            found.append([i for token in tokens[at : at + n] for i in known[token]])
             at += n
         return found
 

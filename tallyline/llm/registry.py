@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, chat_format, forced_bpe, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, token_output
+from tallyline.llm import byte_bpe, chat_format, forced_bpe, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, term_pipeline, token_output
 from tallyline.llm.storage import stored, table
 
 
@@ -52,6 +52,36 @@ LEFT JOIN (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY x) USING (doc_id)
 """
 
 
+# The score is the contract's; rows of documents with one id are documents of their own.
+OP11 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+held AS (SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY r),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+factors AS (SELECT r, 100 - 75 + (75 * n * docs) // terms AS m FROM lengths, totals),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held, totals GROUP BY term, docs),
+asked AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN factors USING (r) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def _escaped(column: str) -> str:
     sql = rf"replace({column}, '\', '\\')"
     for c in chat_format.CONTROL:
@@ -144,6 +174,11 @@ def op10_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return term_pipeline.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by a byte-level tokenizer file and decoded again."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -163,9 +198,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_itq_dedup": op9_itq_dedup,
         "op10_hamming_top_k": op10_hamming_top_k,
+        "op11_term_pipeline": op11_term_pipeline,
         "op12_forced_bpe": op12_forced_bpe,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_ngram_join": OP1, "op3_chat_format": OP3, "op10_hamming_top_k": OP10}
+    return {"op1_ngram_join": OP1, "op3_chat_format": OP3, "op10_hamming_top_k": OP10, "op11_term_pipeline": OP11}

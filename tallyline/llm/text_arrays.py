@@ -42,9 +42,14 @@ def groups(bounds: np.ndarray, most: int = 4 << 20):
         first = last
 
 
-def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end) of each word of all texts, and the words each text begins at (one entry more)."""
-    solid = np.concatenate([[False], ~WHITE[data], [False]])
+def word_bounds(
+    data: np.ndarray, bounds: np.ndarray, blank: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end) of each word of all texts, and the words each text begins at (one entry more).
+
+    Words are the maximal runs of bytes that are not `blank`.
+    """
+    solid = np.concatenate([[False], ~blank[data], [False]])
     starts = solid[1:] & ~solid[:-1]
     ends = solid[:-1] & ~solid[1:]
     inner = bounds[1:-1]

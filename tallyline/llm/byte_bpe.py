@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -178,15 +179,15 @@ class Encoder:
         self.split = regex.compile(pattern)
         self.pieces = Pieces(self._encode, most)
 
-    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece."""
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as 4-byte integers."""
         split = [self.split.findall(p.decode("utf-8")) for p in pieces]
         tokens = list(dict.fromkeys(t for own in split for t in own))
         strings = [t.encode("utf-8") for t in tokens]
         found = self.whole.find(strings).tolist()
         merge = self.parts.encode
         ids = {t: ([i] if i >= 0 else merge(s)) for t, s, i in zip(tokens, strings, found, strict=True)}
-        return [[i for t in own for i in ids[t]] for own in split]
+        return [array("i", [i for t in own for i in ids[t]]).tobytes() for own in split]
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in turn, and the ids each text begins at (one entry more)."""

@@ -7,8 +7,8 @@ after the other. Such cuts are found for a whole batch at once, by a table of 25
 They serve twice. Between a printable ASCII character and ASCII white space the split into
 pre-tokens ends as well, whatever comes before or after; these cuts part a batch into pieces, each
 of which is encoded once while a worker remembers it. Inside a piece the tokenizer's own
-pre-tokenizer is asked, and its pre-tokens are cut at every forced pair. What is left is merged by
-rank, leftmost first. The strings of special tokens are found first, as the tokenizer does.
+pre-tokenizer is asked, and its pre-tokens are cut at every forced pair. All fragments of a batch
+are then merged side by side, in rounds over arrays. The strings of special tokens are found first, as the tokenizer does.
 """
 
 from __future__ import annotations
@@ -62,8 +62,12 @@ class Vocabulary:
                 self.byte[spelling[0]] = ids[token]
         # (left id, right id) -> rank and merged id, each pair and each result as one number.
         self.merges: dict[int, int] = {}
+        made: dict[str, int] = {}  # rank of the first merge that gives a token
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
+            if max(made.get(a, -1), made.get(b, -1)) >= rank:
+                raise ValueError("a merge comes before its parts")
+            made.setdefault(a + b, rank)
             self.merges.setdefault(ids[a] << 32 | ids[b], rank << 32 | ids[a + b])
         self.special: dict[bytes, int] = {}
         tokens = {ids[t]: s for t, s in spelled.items()}
@@ -82,28 +86,10 @@ class Vocabulary:
             self.inside[both[:-1], both[1:]] = True
 
 
-def merge_short(ids: list[int], merges: dict[int, int]) -> list[int]:
-    """Merge `ids` in place: the pair of lowest rank, leftmost first, until none has a rank."""
-    find = merges.get
-    ranks = [find(a << 32 | b, _NEVER) for a, b in zip(ids, ids[1:])]
-    while ranks:
-        best = min(ranks)
-        if best == _NEVER:
-            break
-        i = ranks.index(best)
-        ids[i : i + 2] = [best & 0xFFFFFFFF]
-        del ranks[i]
-        if i:
-            ranks[i - 1] = find(ids[i - 1] << 32 | ids[i], _NEVER)
-        if i < len(ranks):
-            ranks[i] = find(ids[i] << 32 | ids[i + 1], _NEVER)
-    return ids
-
-
 def merge_long(ids: list[int], merges: dict[int, int]) -> list[int]:
-    """What :func:`merge_short` gives, in n log n steps: a heap over the ends of growing tokens.
+    """Merge the ids of one fragment, in n log n steps: a heap over the ends of growing tokens.
 
-    `stop[i]` is where the token that begins at i ends, `begin[e]` where the one that ends at e begins.
+    The pair of lowest rank, leftmost first, is merged until none has a rank. `stop[i]` is where the token that begins at i ends, `begin[e]` where the one that ends at e begins.
     """
     n = len(ids)
     stop, begin = list(range(1, n + 1)), list(range(-1, n))
@@ -137,6 +123,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.vocabulary = Vocabulary(path)
+        merges, byte = self.vocabulary.merges, self.vocabulary.byte
+        self.pairs = np.array(sorted(merges), np.int64)
+        self.results = np.array([merges[k] for k in self.pairs.tolist()], np.int64)
+        self.byte_ids = np.array(byte, np.int64)
+        self.byte_ranks = np.array([[merges.get(a << 32 | b, _NEVER) for b in byte] for a in byte], np.int64)
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.pieces = Pieces(self._encode, most)
         printable = np.zeros(256, bool)
@@ -144,65 +135,96 @@ class Encoder:
         # Forced pairs at which the split into pre-tokens ends, too.
         self.apart = ~self.vocabulary.inside & printable[:, None] & WHITE[None, :]
 
-    def pre_tokens(self, pieces: list[bytes]) -> tuple[list[bytes], list[int]]:
-        """The pre-tokens of all pieces in turn, and how many each has.
+    def pre_tokens(self, pieces: list[bytes]) -> np.ndarray:
+        """Where the pre-tokens of `pieces`, put one after the other, begin.
 
-        Pieces that begin and end like certain cuts can stand one after the other in one string,
-        which saves a call for each.
+        Pieces that begin and end like certain cuts can stand in one string, which saves a call for each.
         """
-        tokens: list[list[bytes]] = [[] for _ in pieces]
-        run: list[int] = []
-        for k, piece in enumerate(pieces):
-            if piece in self.vocabulary.special:
-                tokens[k] = [piece]
-            elif WHITE[piece[0]] and 0x21 <= piece[-1] < 0x7F:
-                run.append(k)
-            else:
-                text = piece.decode("utf-8")
-                tokens[k] = [text[a:b].encode("utf-8") for _, (a, b) in self.split(text)]
-        for first in range(0, len(run), RUN):
-            own = run[first : first + RUN]
-            texts = [pieces[k].decode("utf-8") for k in own]
-            joined = "".join(texts)
-            spans = [span for _, span in self.split(joined)]
-            bounds = np.cumsum([0, *map(len, texts)])
-            cuts = np.searchsorted([a for a, _ in spans], bounds).tolist()
-            found = [joined[a:b].encode("utf-8") for a, b in spans]
-            for k, a, b in zip(own, cuts[:-1], cuts[1:], strict=True):
-                tokens[k] = found[a:b]
-        return [t for own in tokens for t in own], [len(own) for own in tokens]
-
-    def fragments(self, tokens: list[bytes]) -> tuple[list[bytes], list[int]]:
-        """Pre-tokens cut at every forced pair: all fragments in turn, and where each pre-token's begin."""
-        blob = b"".join(tokens)
-        data = np.frombuffer(blob, np.uint8)
-        bounds = np.cumsum([0, *map(len, tokens)])
-        cut = np.ones(len(data) + 1, bool)
-        if len(data):
-            cut[1:-1] = ~self.vocabulary.inside[data[:-1], data[1:]]
-        cut[bounds] = True
-        at = np.flatnonzero(cut)
-        ends = at.tolist()
-        return [blob[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], np.searchsorted(at, bounds).tolist()
-
-    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece."""
-        special, byte, merges = self.vocabulary.special, self.vocabulary.byte, self.vocabulary.merges
-        tokens, counts = self.pre_tokens(pieces)
-        known = {t: [special[t]] for t in tokens if t in special}
-        distinct = [t for t in dict.fromkeys(tokens) if t not in known]
-        parts, firsts = self.fragments(distinct)
-        merged = {}
-        for part in dict.fromkeys(parts):
-            ids = [byte[b] for b in part]
-            merged[part] = merge_short(ids, merges) if len(ids) <= SHORT else merge_long(ids, merges)
-        for token, a, b in zip(distinct, firsts[:-1], firsts[1:], strict=True):
-            known[token] = [i for part in parts[a:b] for i in merged[part]]
-        found, at = [], 0
-        for n in counts:
-            found.append([i for token in tokens[at : at + n] for i in known[token]])
-            at += n
-        return found
+        alone = [not (WHITE[p[0]] and 0x21 <= p[-1] < 0x7F) for p in pieces]
+        begins, base, k = [np.zeros(0, np.int64)], 0, 0
+        while k < len(pieces):
+            last = k + 1
+            if not alone[k]:
+                while last < len(pieces) and last - k < RUN and not alone[last]:
+                    last += 1
+            own = b"".join(pieces[k:last])
+            spans = self.split(own.decode("utf-8"))
+            letters = np.flatnonzero((np.frombuffer(own, np.uint8) & 0xC0) != 0x80)
+            begins.append(base + letters[[a for _, (a, _) in spans]])
+            base, k = base + len(own), last
+        return np.concatenate(begins)
+
+    def fragments(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of `pieces` and where fragments begin: at pre-tokens and at every forced pair."""
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        cut = np.ones(len(data), bool)
+        cut[1:] = ~self.vocabulary.inside[data[:-1], data[1:]]
+        cut[self.pre_tokens(pieces)] = True
+        return data, np.flatnonzero(cut)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and merged id of each pair, as one number."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == keys, self.results[at], _NEVER)
+
+    def merge(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all fragments in turn, and how many each has.
+
+        All fragments go on side by side: a round merges the pair of lowest rank of each, everywhere in it.
+        A merge only makes pairs of higher ranks, so that is the order of one pair after the other.
+        """
+        size = np.diff(np.append(first, len(data)))
+        owner = np.repeat(np.arange(len(first)), size)
+        ids = self.byte_ids[data]
+        ended = []
+        for k in np.flatnonzero(size > SHORT).tolist():
+            own = merge_long(ids[first[k] : first[k] + size[k]].tolist(), self.vocabulary.merges)
+            ended.append((np.array(own, np.int64), np.full(len(own), k)))
+        rank = np.full(len(data), _NEVER)
+        rank[:-1] = self.byte_ranks[data[:-1], data[1:]]
+        rank[np.append(first[1:], len(data)) - 1] = _NEVER
+        short = (size <= SHORT)[owner]
+        ids, owner, rank = ids[short], owner[short], rank[short]
+        while len(ids):
+            begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            best = np.repeat(np.minimum.reduceat(rank, begin), np.diff(np.append(begin, len(ids))))
+            done = best == _NEVER
+            ended.append((ids[done], owner[done]))
+            ids, owner, rank, best = (x[~done] for x in (ids, owner, rank, best))
+            at = np.flatnonzero(rank == best)
+            if not len(at):
+                break
+            # Of pairs that overlap, as in aaa, every other one counts.
+            fresh = np.concatenate([[True], at[1:] != at[:-1] + 1])
+            at = at[(at - at[fresh][np.cumsum(fresh) - 1]) % 2 == 0]
+            ids[at] = rank[at] & 0xFFFFFFFF
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            place = np.cumsum(keep) - 1
+            ids, owner, rank = ids[keep], owner[keep], rank[keep]
+            redo = np.concatenate([place[at], place[at] - 1])
+            redo = redo[redo >= 0]
+            rank[redo] = _NEVER
+            redo = redo[redo < len(ids) - 1]
+            redo = redo[owner[redo] == owner[redo + 1]]
+            rank[redo] = self._ranks(ids[redo], ids[redo + 1])
+        ids, owner = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*ended, strict=True))
+        return ids[np.argsort(owner, kind="stable")].astype(np.int32), np.bincount(owner, minlength=len(first))
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as 4-byte integers."""
+        special = self.vocabulary.special
+        plain = [p for p in pieces if p not in special]
+        found = {p: np.int32(special[p]).tobytes() for p in pieces if p in special}
+        if plain:
+            data, first = self.fragments(plain)
+            ids, count = self.merge(data, first)
+            upto = np.concatenate([[0], np.cumsum(count)])
+            begin = np.searchsorted(first, np.cumsum([0, *map(len, plain)]))
+            raw, cuts = ids.tobytes(), (4 * upto[begin]).tolist()
+            found |= {p: raw[a:b] for p, a, b in zip(plain, cuts[:-1], cuts[1:], strict=True)}
+        return [found[p] for p in pieces]
 
     def cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Where pieces begin: at certain cuts, around special strings and at the bounds of texts."""

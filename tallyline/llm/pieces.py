@@ -14,14 +14,14 @@ _OVERHEAD, _LONGEST = 170, 512
 
 
 class Pieces:
-    """Ids by byte string. `encode` gives the ids of strings; about `most` bytes are kept.
+    """Ids by byte string. `encode` gives the ids of strings as 4-byte integers; about `most` bytes are kept.
 
     Strings are compared whole, so equal ids never rest on equal hashes. What is kept comes in two
     generations: when the young one has its half, it replaces the old one, from which strings that
     are met again come back. Frequent strings stay.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], Sequence[Sequence[int]]], most: int = MOST_BYTES):
+    def __init__(self, encode: Callable[[list[bytes]], Sequence[bytes]], most: int = MOST_BYTES):
         self.encode = encode
         self.most = most // 2
         self.young: dict[bytes, bytes] = {}
@@ -51,7 +51,7 @@ class Pieces:
                 missing.append(piece)
         if missing:
             for piece, ids in zip(missing, self.encode(missing), strict=True):
-                self._keep(piece, np.array(ids, np.int32).tobytes())
+                self._keep(piece, ids)
         found = [known[p] for p in pieces]
         count = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         ids = np.frombuffer(b"".join(found), np.int32)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import byte_bpe, chat_format, forced_bpe, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, term_pipeline, token_output
+from tallyline.llm import byte_bpe, chat_format, conversation_trie, forced_bpe, hamming_search, itq_dedup, lm_difference, ngram_join, ordinal_quality, pii_spans, source_mix, term_pipeline, token_output
 from tallyline.llm.storage import stored, table
 
 
@@ -82,6 +82,42 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r
 """
 
 
+# CRC-32 of decimal ids by its polynomial; a node is named by its turns' digests, its ancestors by its smallest member.
+OP13 = """
+WITH turns AS (
+  SELECT conv_id AS c, turn, length(coalesce(text, '')) AS n,
+    md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list(k ORDER BY turn NULLS FIRST, k) AS p, list(n ORDER BY turn NULLS FIRST, k) AS n,
+    xor(4294967295, list_reduce(
+      list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda u, v: xor(u >> 1, (u & 1) * 3988292384)))) % 6 AS h
+  FROM turns GROUP BY c),
+whole AS (
+  SELECT o.c, list_concat(coalesce(b.p[1:o.h], []), o.p[o.h + 1:]) AS p,
+    list_concat(coalesce(b.n[1:o.h], []), o.n[o.h + 1:]) AS n
+  FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 100),
+steps AS (
+  SELECT c, d, array_to_string(p[1:d], '') AS node, array_to_string(p[1:d - 1], '') AS parent,
+    CASE WHEN d = 0 THEN 0 ELSE n[d] END AS chars, d = len(p) AS ends
+  FROM whole, unnest(range(0, len(p) + 1)) AS r(d)),
+nodes AS (
+  SELECT node, d, min(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM steps GROUP BY node, d),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+known AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (node)),
+sums AS (
+  SELECT s.node, CAST(count(*) FILTER (k.n_children = 0) AS BIGINT) AS n_leaves,
+    CAST(sum((k.n_convs - 1) * k.chars) AS BIGINT) AS saved_tokens
+  FROM known k JOIN steps s ON s.c = k.conv_id AND s.d <= k.d GROUP BY s.node)
+SELECT k.conv_id, k.d AS depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, k.ends_sha256
+FROM known k JOIN sums USING (node) LEFT JOIN nodes up ON k.d > 0 AND up.node = k.parent
+"""
+
+
 def _escaped(column: str) -> str:
     sql = rf"replace({column}, '\', '\\')"
     for c in chat_format.CONTROL:
@@ -185,6 +221,11 @@ def op12_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forced_bpe.digests(forced_bpe.encode_decode(table(spark, sf_dir, "documents"), path))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt on shared heads."""
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -200,8 +241,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_hamming_top_k": op10_hamming_top_k,
         "op11_term_pipeline": op11_term_pipeline,
         "op12_forced_bpe": op12_forced_bpe,
+        "op13_conversation_trie": op13_conversation_trie,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_ngram_join": OP1, "op3_chat_format": OP3, "op10_hamming_top_k": OP10, "op11_term_pipeline": OP11}
+    return {"op1_ngram_join": OP1, "op3_chat_format": OP3, "op10_hamming_top_k": OP10, "op11_term_pipeline": OP11, "op13_conversation_trie": OP13}

@@ -52,18 +52,20 @@ def class_id(shingles: np.ndarray) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], column: int, size: int):
-    """(batch, first row, sets) over all texts."""
+    """(batch, first row, sets) over all texts, those of about a megabyte at a time."""
     for batch in batches:
         data, bounds = text_bytes(batch.column(column))
-        for a, b in groups(bounds):
+        for a, b in groups(bounds, 1 << 20):
             yield batch, a, list(shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], size))
+    pa.default_memory_pool().release_unused()
 
 
 def _measure(docs: DataFrame, size: int) -> DataFrame:
     """Rows (doc_id, n, c) of all documents, and rows (chunk, counts) of the count tables of tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << BUCKET_BITS, np.int64)
+        # Above 255 in one task a count only has to be large.
+        table = np.zeros(1 << BUCKET_BITS, np.uint8)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         names = ["doc_id", "n", "c", "chunk", "counts"]
 
@@ -75,10 +77,10 @@ def _measure(docs: DataFrame, size: int) -> DataFrame:
 
         for batch, a, sets in _sets(batches, 1, size):
             every = np.concatenate([*sets, np.zeros(0, np.uint64)])
-            table += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(table))
+            at, more = np.unique((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), return_counts=True)
+            table[at] = np.minimum(table[at] + more, 255)
             yield rows(batch.column(0).slice(a, len(sets)), [len(s) for s in sets], [class_id(s) for s in sets], None, None)
-        # Above 255 in one task a count only has to be large.
-        small = np.minimum(table, 255).astype(np.uint8).reshape(-1, CHUNK)
+        small = table.reshape(-1, CHUNK)
         used = np.flatnonzero(small.any(1))
         if len(used):
             yield rows(None, None, None, used, [small[i].tobytes() for i in used])

@@ -92,14 +92,33 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 def _lane_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of ranges of one window."""
+    value, begin, place = _lanes(data, start, end)
+    value = mixed(value + (place + 1).astype(np.uint64) * _PLACE)
+    return mixed(np.add.reduceat(value, begin) + (end - start).astype(np.uint64) * _LENGTH)
+
+
+def _lanes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all ranges, eight to a number; the lane each range begins at; each lane's place in its range."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
-    size = end - start
-    lanes = np.maximum(1, (size + 7) >> 3)
+    lanes = np.maximum(1, (end - start + 7) >> 3)
     begin = np.cumsum(lanes) - lanes
     place = np.arange(int(lanes.sum())) - np.repeat(begin, lanes)
     at = np.repeat(start, lanes) + 8 * place
     rest = np.minimum(np.repeat(end, lanes) - at, 8)
     kept = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 9))], np.uint64)
-    value = mixed((eight[at] & kept[rest]) + (place + 1).astype(np.uint64) * _PLACE)
-    return mixed(np.add.reduceat(value, begin) + size.astype(np.uint64) * _LENGTH)
+    return eight[at] & kept[rest], begin, place
+
+
+def equal_ranges(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, first: np.ndarray, size: np.ndarray
+) -> np.ndarray:
+    """Whether each byte range start..end of `data` holds the `size` bytes of `other` from `first` on."""
+    same = end - start == size
+    at = np.flatnonzero(same)
+    for k in range(0, len(at), WINDOW >> 4):
+        own = at[k : k + (WINDOW >> 4)]
+        mine, begin, _ = _lanes(data, start[own], end[own])
+        theirs, _, _ = _lanes(other, first[own], first[own] + size[own])
+        same[own] = np.logical_and.reduceat(mine == theirs, begin)
+    return same

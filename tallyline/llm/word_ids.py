@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-from tallyline.llm.text_arrays import LOWER, range_hashes, word_bounds
+from tallyline.llm.text_arrays import LOWER, equal_ranges, range_hashes, word_bounds
 
 # Words of these characters split into pre-tokens in a way that is safe to count here.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -23,7 +23,10 @@ _JOIN = 2000
 
 
 class WordEncoder:
-    """Ids of words, kept between batches in sorted arrays of at most `most` words."""
+    """Ids of words, kept between batches in sorted arrays of at most `most` words.
+
+    Words are found by hash, and what is found is compared byte by byte.
+    """
 
     def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,6 +50,9 @@ class WordEncoder:
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.place = np.zeros(0, np.int64)
+        self.size_of = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         out: list = [None] * len(words)
@@ -75,8 +81,8 @@ class WordEncoder:
             out[i] = x.ids
         return out
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        found = self._encode(words)
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        found = self._encode([w.decode("utf-8") for w in words])
         count = np.array([len(x) for x in found], np.int64)
         fresh = np.array([i for x in found for i in x], np.uint32)
         first = len(self.ids) + np.cumsum(count) - count
@@ -85,6 +91,16 @@ class WordEncoder:
         self.first = np.insert(self.first, place, first)
         self.count = np.insert(self.count, place, count)
         self.ids = np.concatenate([self.ids, fresh])
+        size = np.array([len(w) for w in words], np.int64)
+        self.place = np.insert(self.place, place, len(self.bytes) + np.cumsum(size) - size)
+        self.size_of = np.insert(self.size_of, place, size)
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(words), np.uint8)])
+
+    def _each(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words in turn and how many each has, without what is kept."""
+        raw = data.tobytes()
+        found = self._encode([raw[a:b].decode("utf-8") for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in turn, and the ids each text begins at (one entry more)."""
@@ -100,12 +116,17 @@ class WordEncoder:
         if len(missing):
             raw = lowered.tobytes()
             a, b = start[example[missing]].tolist(), end[example[missing]].tolist()
-            self._learn(keys[missing], [raw[x:y].decode("utf-8") for x, y in zip(a, b, strict=True)])
+            self._learn(keys[missing], [raw[x:y] for x, y in zip(a, b, strict=True)])
             place = np.searchsorted(self.keys, keys)
-        count = self.count[place][which]
+        at = place[which]
+        if not equal_ranges(lowered, start, end, self.bytes, self.place[at], self.size_of[at]).all():
+            # Two words share a hash.
+            ids, count = self._each(lowered, start, end)
+            return ids, np.concatenate([[0], np.cumsum(count)])[firsts]
+        count = self.count[at]
         upto = np.zeros(len(count) + 1, np.int64)
         np.cumsum(count, out=upto[1:])
-        source = np.repeat(self.first[place][which] - upto[:-1], count) + np.arange(upto[-1])
+        source = np.repeat(self.first[at] - upto[:-1], count) + np.arange(upto[-1])
         return self.ids[source], upto[firsts]
 
 

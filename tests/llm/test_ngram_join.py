@@ -123,3 +123,18 @@ def test_components_of_paths_and_stars(spark):
     got = {r.id: r.component for r in graph.components(frame).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {300: 300, 301: 300}
     assert graph.components(frame.limit(0)).count() == 0
+
+
+def opposite_words(size=2048):
+    """Two different words of a and b that agree letter by letter in number and in many arrangements."""
+    one = "a"
+    while len(one) < size:
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_that_differ_in_their_arrangement_alone(spark):
+    one, other = opposite_words()
+    docs = spark.createDataFrame([(1, one), (2, other), (3, f"x {one}"), (4, f"x {other}"), (5, one)], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}

@@ -4,13 +4,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallyline.llm import huffman, registry, token_output
+from tallyline.llm import huffman, registry, token_output, word_ids
 from tallyline.llm.storage import show_package
+from tallyline.llm.text_arrays import text_bytes
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -101,3 +103,18 @@ def test_length_limit_is_optimal_on_a_known_case():
 def test_too_many_ids_for_the_limit():
     with pytest.raises(ValueError, match="do not fit"):
         huffman.code_lengths(np.ones(9), 3)
+
+
+def test_words_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    texts = ["same sane", "sane x", None, f"{one} y", one.translate(str.maketrans("ab", "ba"))]
+    library = Tokenizer.from_file(PATH)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for hashes in (word_ids.range_hashes, lambda d, a, b: (b - a).astype(np.uint64)):
+        monkeypatch.setattr(word_ids, "range_hashes", hashes)
+        tool = word_ids.WordEncoder(PATH)
+        for _ in range(2):
+            ids, firsts = tool.encode(*text_bytes(pa.array(texts, pa.string())))
+            assert [ids[a:b].tolist() for a, b in zip(firsts[:-1], firsts[1:], strict=True)] == want

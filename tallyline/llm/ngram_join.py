@@ -25,6 +25,7 @@ component whose ids are all null has a null id. Repeated rows are each kept. An
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -347,7 +348,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, pivots: t
 
 
 def drop_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component, or null, or has no words."""
-    found = near_duplicates(docs, size, percent)
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(_few(gone), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component of `docs`, that of the smallest `doc_id`, null last; rows without words stay.
+
+    Rows are told apart by a number of their own, so rows that share an id or have none are as good as any.
+    """
+    row = f"row_{uuid.uuid4().hex}"
+    # Stored, so that a row keeps its number however often it is read.
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    rows = numbered.select(F.col(row).alias("doc_id"), "text")
+    found = near_duplicates(rows, size, percent).select(F.col("doc_id").alias(row), "component_id")
+    several = found.where(F.col(row) != F.col("component_id")).select("component_id").distinct()
+    members = found.join(several, "component_id").join(numbered.select(row, "doc_id"), row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row))
+    kept = members.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{row}").alias(row))
+    gone = stored(members.select(row).join(kept, row, "left_anti"), "near-duplicates")
+    return numbered.join(_few(gone), row, "left_anti").select(*docs.columns)

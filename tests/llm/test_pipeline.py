@@ -1,5 +1,6 @@
 """The stages of the corpus pipeline, each on what the one before it kept."""
 
+import hashlib
 import re
 
 import public_tokenizers
@@ -68,6 +69,8 @@ def test_tokens_decode_to_the_mix(steps):
     )
     want = sorted((r.doc_id, tool.encode_ordinary(r.text or "")) for r in steps[4].collect())
     assert sorted((r.doc_id, r.ids) for r in steps[5].collect()) == want
+    texts = sorted((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in steps[4].collect())
+    assert sorted((r.doc_id, r.decoded_sha256) for r in steps[5].collect()) == texts
 
 
 def test_every_query_is_registered():
@@ -75,7 +78,7 @@ def test_every_query_is_registered():
 
     names = set(__spark_entry__.queries())
     assert set(registry.all_queries()) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 def test_odd_documents_pass_all_stages(spark, sf, steps):

@@ -22,10 +22,7 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id.
-
-    Rows that share an id are one document. Documents without an id stay.
-    """
+    """One row of each group of near duplicates, that of the smallest id; documents without words stay."""
     show_package(spark)
     return ngram_join.drop_duplicates(docs)
 
@@ -44,9 +41,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of each document of the mix."""
+    """(doc_id, n_tokens, ids, decoded_sha256) of each document of the mix; the digest is of the decoded bytes."""
     show_package(spark)
-    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

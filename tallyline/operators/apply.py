@@ -91,12 +91,24 @@ def latest_events(canonical: DataFrame) -> DataFrame:
         F.desc("kafka_partition"),
         F.desc("kafka_offset"),
     )
-    top = (
-        canonical.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-        .withColumn("updated_at", timestamp_of(F.col("updated_at_text")))
-        .withColumn("is_deleted", F.col("operation") == "DELETE")
+    ranked = canonical.withColumn("_rank", F.row_number().over(newest))
+    return _shaped(ranked.where(F.col("_rank") == 1).drop("_rank"))
+
+
+def latest_by_state(canonical: DataFrame) -> DataFrame:
+    """What :func:`latest_events` gives, by an aggregate: on a stream its state is one row per key."""
+    shaped = _shaped(canonical)
+    others = [c for c in shaped.columns if c not in LEDGER_KEY]
+    newest = F.max_by(F.struct(*others), F.struct(*_ORDER)).alias("newest")
+    return shaped.groupBy(*LEDGER_KEY).agg(newest).select(
+        *[F.col(c) if c in LEDGER_KEY else F.col(f"newest.{c}") for c in shaped.columns]
+    )
+
+
+def _shaped(canonical: DataFrame) -> DataFrame:
+    """Canonical events as ledger rows plus ``violation``."""
+    top = canonical.withColumn("updated_at", timestamp_of(F.col("updated_at_text"))).withColumn(
+        "is_deleted", F.col("operation") == "DELETE"
     )
     return top.select(
         *_IDENTITY,

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyline.schemas import (
@@ -18,7 +17,6 @@ from tallyline.schemas import (
     RUN_STATUSES,
     RUNS,
 )
-from tallyline.session import shared_folder
 
 # Page size limits.
 DEFAULT_LIMIT = 50
@@ -46,34 +44,16 @@ def matching(df: DataFrame, equal: dict[str, object]) -> DataFrame:
     return df
 
 
-def page_of(
-    df: DataFrame, order: list[Column], limit: int, offset: int, folder: str | None = None
-) -> Page:
-    """The requested slice and the total.
+def page_of(df: DataFrame, order: list[Column], limit: int, offset: int) -> Page:
+    """The requested slice and the total, both lazy.
 
-    The slice is cut from a sorted table in ``folder`` (default: the shared
-    folder), whose partitions are counted to tell where it lies, so no task holds
-    what comes before it, however far that is. Deep readers go on with
-    :func:`page_after`, which sorts nothing.
+    Each task keeps its first ``offset + limit`` rows, without a sort of the whole. Far pages of a
+    published table come from :mod:`page_index`, and readers that go on from page to page use
+    :func:`page_after`; neither depends on the offset.
     """
     if not 1 <= limit <= MAX_LIMIT or offset < 0:
         raise ValueError(f"limit must be 1..{MAX_LIMIT} and offset not negative")
-    spark = df.sparkSession
-    folder = folder or shared_folder(spark, "sorted-page")
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_row": within}).write.parquet(
-        folder
-    )
-    rows = spark.read.parquet(folder)
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    # One row per sort partition.
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
-    place = F.col("_start") + F.col("_row")
-    inside = (place >= offset) & (place < offset + limit)
-    items = rows.join(starts, "_part").where(inside).select(*df.columns).orderBy(*order)
-    return Page(items, total, limit, offset)
+    return Page(df.orderBy(*order).offset(offset).limit(limit), df.agg(F.count(F.lit(1)).alias("total")), limit, offset)
 
 
 def page_after(
@@ -186,16 +166,10 @@ def investigate_transactions(
     ledger: DataFrame, results: DataFrame, transaction_ids: DataFrame
 ) -> Investigation:
     """Ledger rows and results of the requested transactions, and those of which
-    neither table knows anything. The hits are stored, so each table is read once."""
+    neither table knows anything. All three are lazy."""
     key = ["transaction_id"]
     wanted = transaction_ids.select(*key).distinct()
-
-    def hits(df: DataFrame) -> DataFrame:
-        folder = shared_folder(df.sparkSession, "investigation")
-        df.join(wanted, key, "left_semi").write.parquet(folder)
-        return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-    records, compared = hits(ledger), hits(results)
+    records, compared = (df.join(wanted, key, "left_semi") for df in (ledger, results))
     known = records.select(*key).union(compared.select(*key)).distinct()
     return Investigation(
         records.orderBy("source_system", "source_record_id"),

@@ -128,6 +128,44 @@ def ordered_evidence(evidence: DataFrame) -> DataFrame:
     return evidence.orderBy(*PAIR, "transaction_id", "currency", "side", "source_record_id")
 
 
+KEYS = ["transaction_id", "currency"]
+
+
+def changed_keys(before: DataFrame, changes: DataFrame) -> DataFrame:
+    """The (transaction, currency) whose results may differ after ``changes``: those of the changed
+    records, and those that the same records had in the ledger ``before``."""
+    records = changes.select("source_system", "source_record_id").distinct()
+    old = before.join(records, ["source_system", "source_record_id"], "left_semi")
+    return old.select(*KEYS).unionByName(changes.select(*KEYS)).dropna().distinct()
+
+
+def of_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` with (``left_semi``) or without (``left_anti``) one of the keys. Keys are unique,
+    so Catalyst may broadcast them; beyond that a hot key of ``df`` is split."""
+    return df.join(keys.select(*KEYS), KEYS, how)
+
+
+def reconcile_changed(
+    ledger: DataFrame, previous: DataFrame, keys: DataFrame, left: str, right: str, run_id: int, as_of: Column
+) -> DataFrame:
+    """The results of a full run, of which only those of ``keys`` are computed from the ledger; the
+    ``previous`` results of the pair stand for all others."""
+    fresh = reconcile(of_keys(ledger, keys, "left_semi"), left, right, run_id, as_of)
+    kept = of_keys(previous, keys, "left_anti").withColumns(
+        {"run_id": F.lit(run_id).cast("bigint"), "reconciled_at": as_of}
+    )
+    return kept.select(*RESULTS.names).unionByName(fresh)
+
+
+def evidence_changed(
+    ledger: DataFrame, previous: DataFrame, keys: DataFrame, left: str, right: str, run_id: int
+) -> DataFrame:
+    """The evidence of a full run, with that of ``keys`` alone taken from the ledger."""
+    fresh = evidence_rows(of_keys(ledger, keys, "left_semi"), left, right, run_id)
+    kept = of_keys(previous, keys, "left_anti").withColumn("run_id", F.lit(run_id).cast("bigint"))
+    return kept.select(*EVIDENCE.names).unionByName(fresh)
+
+
 def class_counts(results: DataFrame, by: list[str]) -> DataFrame:
     """Total and per-class number of results."""
     return results.groupBy(*by).agg(

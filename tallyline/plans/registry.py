@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.operators import apply as A
-from tallyline.operators import dedup, envelope, investigate, metrics, quality
+from tallyline.operators import dedup, difference, envelope, intervals, investigate, metrics, quality
 from tallyline.operators import reconcile as R
 from tallyline.plans import derived as D
 from tallyline.plans import jobs
 from tallyline.plans.state import LedgerState
 from tallyline.session import configure, shared_folder
-from tallyline.sources.messages import read_event_lines
+from tallyline.sources.messages import file_stream, read_event_lines
 from tallyline.streaming.ingestion import start_ingestion
+from tallyline.streaming.latest import start_keyed_latest
+from tallyline.streaming.retry import Backoff
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -141,6 +143,49 @@ def stream_ingest(spark, sf_dir):
     return stored.unionByName(dead)
 
 
+class _Flaky(LedgerState):
+    """A state whose storage fails twice for a passing reason, before and between its two inserts."""
+
+    failures = ["raw_cdc_events", "cdc_dead_letters"]
+
+    def _insert(self, rows, table, begun):
+        if table in self.failures:
+            self.failures = [t for t in self.failures if t != table]
+            raise OSError(f"no answer while writing {table}")
+        super()._insert(rows, table, begun)
+
+
+@query
+def stream_ingest_retry(spark, sf_dir):
+    """The stream of all events over a storage that fails twice: each position once."""
+    events = D.table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
+    folder = shared_folder(spark, "ingest")
+    state = _Flaky(spark, f"{folder}/state")
+    retry = Backoff(first=0.1, most=0.2)
+    start_ingestion(D.envelope_messages(stream), state, f"{folder}/progress", retry=retry).awaitTermination()
+    rows = [df.select("kafka_topic", "kafka_partition", "kafka_offset") for df in (state.raw_events(), state.dead_letters())]
+    return rows[0].withColumn("stored", F.lit("event")).unionByName(rows[1].withColumn("stored", F.lit("dead letter")))
+
+
+def _stored_valid(spark, sf_dir) -> LedgerState:
+    state = LedgerState(spark, shared_folder(spark, "state"))
+    state.store({"raw_cdc_events": _parsed(spark, sf_dir).valid()})
+    return state
+
+
+@query
+def offsets_stored_ranges(spark, sf_dir):
+    """The offsets of all valid events as the ranges that storing them leaves."""
+    return _stored_valid(spark, sf_dir).stored_ranges()
+
+
+@query
+def offsets_skipped(spark, sf_dir):
+    """The offsets between those of valid events, which nothing was stored for."""
+    return intervals.gaps(_stored_valid(spark, sf_dir).stored_ranges())
+
+
 # -- applying events ---------------------------------------------------------
 
 
@@ -194,6 +239,32 @@ def ledger_current_layers(spark, sf_dir):
     return _ledger_columns(A.newest_records(stored.unionByName(changed)))
 
 
+@query
+def ledger_bucketed_upsert(spark, sf_dir):
+    """Half of the events as a bucketed ledger, the others as a layer of changes on it."""
+    orders = _orders(spark, sf_dir)
+    raw = D.ledger_events(orders)
+    state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
+    for part in (D.seen_events(raw, D.half_way_checkpoints(orders)), raw):
+        state.store({"raw_cdc_events": part})
+        jobs.process_new_cdc_events(state)
+    return _ledger_columns(state.ledger(state.head()))
+
+
+@query
+def ledger_stream_latest(spark, sf_dir):
+    """The ledger from streaming state: half of the events, then, after a restart, all of them."""
+    orders = _orders(spark, sf_dir)
+    messages = D.ledger_messages(D.ledger_events(orders))
+    folder = shared_folder(spark, "latest")
+    state = LedgerState(spark, f"{folder}/state", buckets=16)
+    mark = D.half_way_checkpoints(orders).agg(F.max("last_kafka_offset")).scalar()
+    for part in (messages.where(F.col("offset") <= mark), messages):
+        part.write.mode("append").parquet(f"{folder}/inbox")
+        start_keyed_latest(file_stream(spark, f"{folder}/inbox"), state, f"{folder}/progress").awaitTermination()
+    return _ledger_columns(state.ledger(state.head()))
+
+
 @query
 def cdc_checkpoints_advance(spark, sf_dir):
     orders = _orders(spark, sf_dir)
@@ -331,17 +402,69 @@ def state_reconciliation(spark, sf_dir):
     raw = D.ledger_events(orders)
     state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
     for part in (D.seen_events(raw, D.half_way_checkpoints(orders)), raw):
-        state.append_absent(part, "raw_cdc_events")
-        state.complete(part)
+        state.store({"raw_cdc_events": part})
         jobs.process_new_cdc_events(state)
     jobs.run_reconciliation(state, "book", "bank")
     return _result_columns(state.results(state.head()))
 
 
+@query
+def reconcile_changed_keys(spark, sf_dir):
+    """A run over half of the events, then one of the changed transactions alone after the rest."""
+    orders = _orders(spark, sf_dir)
+    raw = D.ledger_events(orders)
+    state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
+    for part in (D.seen_events(raw, D.half_way_checkpoints(orders)), raw):
+        state.store({"raw_cdc_events": part})
+        jobs.process_new_cdc_events(state)
+        jobs.run_reconciliation(state, "book", "bank", changed_only=True)
+    return _result_columns(state.results(state.head()))
+
+
+class _NoSpace(LedgerState):
+    """A state that has no room for a second run's evidence."""
+
+    def write(self, df, table, commit, by=None):
+        if table == "result_evidence" and self.head().last_run_id:
+            raise OSError("no space left")
+        super().write(df, table, commit, by)
+
+
+@query
+def state_failed_run(spark, sf_dir):
+    """The run history of a run that succeeds and one that fails, with the results that stay."""
+    state = _NoSpace(spark, shared_folder(spark, "state"), buckets=16)
+    jobs.put_ledger(state, D.ledger(_orders(spark, sf_dir)))
+    jobs.run_reconciliation(state, "book", "bank")
+    jobs.run_reconciliation(state, "book", "bank")
+    head = state.head()
+    kept = state.results(head)
+    runs = state.appended("runs", head).select("run_id", "status", "total_result_count", "match_count", "error_message")
+    return runs.withColumns(
+        {
+            "results_kept": kept.agg(F.count(F.lit(1))).scalar(),
+            "results_of_run": kept.agg(F.max("run_id")).scalar(),
+        }
+    )
+
+
+@query
+def state_baseline_backfill(spark, sf_dir):
+    """Stored results without a run, given baseline runs by the job, which is then repeated."""
+    state = LedgerState(spark, shared_folder(spark, "state"))
+    jobs.put_results(state, _unassigned_results(_orders(spark, sf_dir)))
+    jobs.backfill_baseline_runs(state)
+    jobs.backfill_baseline_runs(state)
+    head = state.head()
+    runs = state.appended("runs", head).select("run_id", "total_result_count", F.lit(None).cast("string").alias("transaction_id"))
+    of_run = state.results(head).select("run_id", F.lit(None).cast("bigint").alias("total_result_count"), "transaction_id")
+    return runs.unionByName(of_run)
+
+
 @query
 def state_quality_history(spark, sf_dir):
-    """Checks of a stored ledger with and without a currency list of its own, and
-    a failed run that keeps the results: the stored history, paged."""
+    """Checks of a stored ledger with and without a currency list of its own: the
+    stored history, paged."""
     orders = _orders(spark, sf_dir)
     state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
     jobs.put_ledger(state, D.ledger(orders))
@@ -359,8 +482,7 @@ def state_quarantine(spark, sf_dir):
     """Newest events that break a constraint, set aside while the rest is applied."""
     raw = D.ledger_events(_orders(spark, sf_dir), defective=True)
     state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
-    state.append_absent(raw, "raw_cdc_events")
-    state.complete(raw)
+    state.store({"raw_cdc_events": raw})
     jobs.process_new_cdc_events(state, "quarantine")
     return state.appended("cdc_rejects", state.head()).select(
         "source_system", "source_record_id", "is_deleted", "last_kafka_offset", "violation"
@@ -390,6 +512,16 @@ def results_baseline_backfill(spark, sf_dir):
     return results.select("left_source_system", "transaction_id", "currency", "run_id", "result_type")
 
 
+@query
+def table_difference(spark, sf_dir):
+    """Line items against a copy that lacks some, holds some twice and lost some flags."""
+    lines = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
+    key = F.col("l_orderkey")
+    flag = F.when(key % 700 != 3, F.col("l_returnflag")).alias("l_returnflag")
+    other = lines.where(key % 1000 != 7).select("l_orderkey", "l_suppkey", flag).unionByName(lines.where(key % 900 == 5))
+    return difference.symmetric_difference(lines, other, ["l_orderkey"])
+
+
 # -- quality -----------------------------------------------------------------
 
 
@@ -547,6 +679,16 @@ def results_page_far(spark, sf_dir):
     return _with_total(page).drop("reconciled_at")
 
 
+@query
+def results_page_index(spark, sf_dir):
+    """A far page of stored results from the files it lies in, with the total of the fences."""
+    state = LedgerState(spark, shared_folder(spark, "state"), buckets=16)
+    jobs.put_ledger(state, D.ledger(_orders(spark, sf_dir)))
+    jobs.run_reconciliation(state, "book", "bank")
+    page = jobs.results_page(state, "book", "bank", limit=150, offset=10_500)
+    return _result_columns(page.items).withColumn("total", F.lit(page.total).cast("bigint"))
+
+
 @query
 def results_page_evidence(spark, sf_dir):
     ledger = D.ledger(_orders(spark, sf_dir))
@@ -581,7 +723,10 @@ def transaction_investigation(spark, sf_dir):
     strangers = D.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("tx-c"), "c_custkey").alias("transaction_id")
     )
-    ledger = D.ledger(orders)
+    # Tables that are asked are stored ones; the ledger is derived once.
+    folder = shared_folder(spark, "ledger")
+    D.ledger(orders).write.parquet(folder)
+    ledger = spark.read.parquet(folder)
     found = investigate.investigate_transactions(
         ledger, R.reconcile(ledger, "book", "bank", 1, now()), urgent.unionByName(strangers)
     )

@@ -5,24 +5,29 @@ one commit record saying which folders are current. A job that dies before that
 leaves nothing visible, and its retry overwrites the leftovers. One writer per
 root at a time; readers may run any time.
 
-Raw events and dead letters are append-only and keyed by message position:
-repeating an append finds its rows already there. Which offsets are stored in
-full is said by marks, one highest offset per Kafka partition, written after
-both appends of a batch. Jobs read up to the marks, so an append that is only
-partly visible is not seen at all.
+Raw events and dead letters are append-only catalog tables, partitioned by
+topic, Kafka partition and offset band. Which offsets are stored in full is
+kept as disjoint ranges in a journal: an append says which offsets it is about
+to store, stores those that no range covers, and only then adds their ranges.
+So it compares with ranges instead of rows; rows are read again only where an
+earlier append began and did not end. Jobs read up to the highest stored offset
+of each partition, so an append that is only partly visible is not seen at all.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.operators.apply import newest_records
+from tallyline.operators.apply import newest_records, upsert_ledger
+from tallyline.operators import intervals, page_index
 from tallyline.operators.dedup import absent_rows, first_per_position
 from tallyline.schemas import (
     CHECK_RESULTS,
@@ -32,17 +37,18 @@ from tallyline.schemas import (
     LEDGER,
     LEDGER_KEY,
     PARTITION_KEY,
+    POSITION,
     RAW_EVENTS,
     REJECTS,
     RESULTS,
     RUNS,
 )
 
-# Offsets per folder of the append-only tables: partition pruning on ``band``
+# Offsets per partition folder of the append-only tables: pruning on ``band``
 # keeps readers away from history they have already processed.
 BAND = 10_000_000
-# Marks that are kept for readers still using them.
-KEPT_MARKS = 5
+# Appends after which the journal of stored offsets starts anew from merged ranges.
+JOURNAL_APPENDS = 100
 
 _COMMITS = T.StructType(
     [
@@ -51,19 +57,37 @@ _COMMITS = T.StructType(
         T.StructField("body", T.StringType()),
     ]
 )
-MARKS = T.StructType(
+# Rows of the journal: an append that ``started`` on offsets low..high, one that is ``closed``,
+# a range that is ``stored``, and the ``base`` mark of a generation that begins with merged ranges.
+_JOURNAL = T.StructType(
     [
+        T.StructField("number", T.LongType()),
+        T.StructField("kind", T.StringType()),
         T.StructField("kafka_topic", T.StringType()),
         T.StructField("kafka_partition", T.IntegerType()),
+        T.StructField("low", T.LongType()),
         T.StructField("high", T.LongType()),
     ]
 )
+# The order of pages of one pair's results; together the columns identify one.
+RESULT_ORDER = [("transaction_id", False), ("currency", False), ("left_source_system", False), ("right_source_system", False)]
+_POSITIONED = {"raw_cdc_events": RAW_EVENTS, "cdc_dead_letters": DEAD_LETTERS}
 CURRENCIES = T.StructType(
     [T.StructField("currency", T.StringType()), T.StructField("enabled", T.BooleanType())]
 )
 _APPENDED = {"runs": RUNS, "check_results": CHECK_RESULTS, "cdc_rejects": REJECTS}
 
 
+@dataclass(frozen=True)
+class Journal:
+    """What the journal says: its valid generation, the last number in use, and
+    the appends that began and did not end as (number, topic, partition, low, high)."""
+
+    generation: int = 0
+    number: int = 0
+    open: tuple[tuple, ...] = ()
+
+
 @dataclass(frozen=True)
 class Commit:
     """Which folders are current after commit ``number``."""
@@ -71,30 +95,63 @@ class Commit:
     number: int = 0
     last_run_id: int = 0
     checkpoints: int | None = None
-    ledger: dict[str, list[int]] = field(default_factory=dict)  # bucket -> layers, oldest first
-    results: list[list] = field(default_factory=list)  # [left, right, commit]
+    ledger_base: int | None = None  # the commit that wrote the bucketed table
+    ledger_layers: list[int] = field(default_factory=list)  # commits of changes since, oldest first
+    # [left, right, commit, ledger base and number of layers that they are of]; without
+    # a pair the folder holds results of any.
+    results: list[list] = field(default_factory=list)
     currencies: int | None = None
 
 
+@dataclass(frozen=True)
+class LastRun:
+    """The stored results of a pair, the ledger they were made of, and its changes since."""
+
+    results: DataFrame
+    evidence: DataFrame
+    ledger: DataFrame
+    changes: DataFrame
+
+
 class LedgerState:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
-        # Fixed for the life of a root; size it so that a bucket holds a few
-        # gigabytes of current records.
+        # Fixed for the life of a root; size it so that a bucket holds some
+        # hundred megabytes of current records, one task each.
         self.buckets = buckets
+        self._last = 0  # a commit that is known to exist
+        self._known: set[tuple] = set()  # partitions that this session's catalog has
 
     # -- commits ---------------------------------------------------------
 
     def _commits(self) -> DataFrame:
         return self._read("_commits", _COMMITS)
 
+    def _commit_record(self, number: int) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/_commits/n={number}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def head(self) -> Commit:
-        commits = self._commits()
-        newest = commits.agg(F.max("commit")).first()[0]
-        if newest is None:
-            return Commit()
-        return Commit(**json.loads(commits.where(F.col("commit") == newest).first()["body"]))
+        """The newest commit. Numbers follow each other, so it is found by asking for
+        a few of them, and one record is read."""
+        known, step = self._last, 1
+        while self._commit_record(known + step) is not None:
+            known, step = known + step, step * 2
+        while step > 1:
+            step //= 2
+            if self._commit_record(known + step) is not None:
+                known += step
+        for number in range(known, 0, -1):  # a record that is being written is still empty
+            row = self._commit_record(number).first()
+            if row is not None:
+                self._last = number
+                return Commit(**json.loads(row["body"]))
+        return Commit()
 
     def publish(self, base: Commit, appended: list[str] | None = None, **changes) -> Commit:
         """Make the folders written for ``base.number + 1`` current; ``appended``
@@ -102,7 +159,7 @@ class LedgerState:
         new = replace(base, number=base.number + 1, **changes)
         body = json.dumps(new.__dict__, ensure_ascii=False)
         record = self.spark.createDataFrame([(new.number, appended or [], body)], _COMMITS)
-        record.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        record.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_commits/n={new.number}")
         return new
 
     # -- folders ---------------------------------------------------------
@@ -140,23 +197,45 @@ class LedgerState:
         commits = [] if head.checkpoints is None else [f"commit={head.checkpoints}"]
         return self._read("cdc_checkpoints", CHECKPOINTS, commits).select(*CHECKPOINTS.names)
 
-    def ledger(self, head: Commit, buckets: list[int] | None = None) -> DataFrame:
-        """Current records, of all buckets or of some."""
-        names = head.ledger if buckets is None else [str(b) for b in buckets]
-        chosen = {b: head.ledger[b] for b in names if b in head.ledger}
-
-        def rows(layered: bool) -> DataFrame:
-            folders = [
-                f"commit={c}/bucket={b}"
-                for b, commits in chosen.items()
-                if (len(commits) > 1) == layered
-                for c in commits
-            ]
-            return self._read("ledger_current", LEDGER, folders).select(*LEDGER.names)
+    def _base_table(self, commit: int) -> str:
+        return f"ledger_base_{hashlib.md5(self.root.encode()).hexdigest()[:16]}_{commit}"
+
+    def write_base(self, ledger: DataFrame, commit: int) -> None:
+        """Write the ledger as a table bucketed and sorted by its key."""
+        (
+            ledger.select(*LEDGER.names)
+            .write.mode("overwrite")
+            .bucketBy(self.buckets, *LEDGER_KEY)
+            .sortBy(*LEDGER_KEY)
+            .option("path", self.folder("ledger_base", commit))
+            .saveAsTable(self._base_table(commit), format="parquet")
+        )
 
-        if all(len(commits) == 1 for commits in chosen.values()):
-            return rows(False)
-        return rows(False).unionByName(newest_records(rows(True)))
+    def ledger_base(self, head: Commit) -> DataFrame:
+        """The bucketed table of the last merge; joins on the ledger key need no exchange of it."""
+        if head.ledger_base is None:
+            return self.spark.createDataFrame([], LEDGER)
+        name = self._base_table(head.ledger_base)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LEDGER.fields)
+            keys = ", ".join(LEDGER_KEY)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"INTO {self.buckets} BUCKETS LOCATION '{_quoted(self.folder('ledger_base', head.ledger_base))}'"
+            )
+        return self.spark.table(name)
+
+    def ledger(self, head: Commit) -> DataFrame:
+        """Current records: the base, guardedly updated by the newest of the changes since."""
+        if not head.ledger_layers:
+            return self.ledger_base(head)
+        changes = self.ledger_changes(head)
+        return upsert_ledger(self.ledger_base(head), newest_records(changes) if len(head.ledger_layers) > 1 else changes)
+
+    def ledger_changes(self, head: Commit) -> DataFrame:
+        """The rows of all layers; a key has at most one in each."""
+        folders = [f"commit={c}" for c in head.ledger_layers]
+        return self._read("ledger_changes", LEDGER, folders).select(*LEDGER.names)
 
     def currencies(self, head: Commit) -> DataFrame | None:
         """The stored currency list, if one was put."""
@@ -164,17 +243,35 @@ class LedgerState:
             return None
         return self._read("supported_currencies", CURRENCIES, [f"commit={head.currencies}"])
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*LEDGER_KEY), F.lit(self.buckets)).cast("int")
+    def write_results(self, results: DataFrame, commit: int) -> None:
+        """Publish results range-sorted with fences, so that a page reads a file or two."""
+        page_index.publish(results, RESULT_ORDER, self.folder("results", commit))
+
+    def staged_results(self, commit: int) -> DataFrame:
+        return self.spark.read.schema(RESULTS).parquet(f"{self.folder('results', commit)}/rows").select(*RESULTS.names)
 
     def results(self, head: Commit) -> DataFrame:
-        folders = [f"commit={c}" for _, _, c in head.results]
-        return self._read("results", RESULTS, folders).select(*RESULTS.names)
+        frames = [self.staged_results(entry[2]) for entry in head.results]
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], RESULTS)
 
     def evidence(self, head: Commit) -> DataFrame:
-        folders = [f"commit={c}" for _, _, c in head.results]
+        folders = [f"commit={entry[2]}" for entry in head.results if entry[0] is not None]
         return self._read("result_evidence", EVIDENCE, folders).select(*EVIDENCE.names)
 
+    def last_results(self, head: Commit, left: str, right: str) -> LastRun | None:
+        """The pair's results with the ledger they are of and what changed since, if that is still there."""
+        entry = next((e for e in head.results if e[:2] == [left, right]), None)
+        if entry is None or entry[3] is None or entry[3] != head.ledger_base:
+            return None
+        of = replace(head, ledger_layers=head.ledger_layers[: entry[4]])
+        since = replace(head, ledger_layers=head.ledger_layers[entry[4] :])
+        return LastRun(
+            self.staged_results(entry[2]),
+            self._read("result_evidence", EVIDENCE, [f"commit={entry[2]}"]).select(*EVIDENCE.names),
+            self.ledger(of),
+            self.ledger_changes(since),
+        )
+
     def appended(self, table: str, head: Commit) -> DataFrame:
         """Runs, check results or rejects, of published commits only."""
         schema = _APPENDED[table]
@@ -186,79 +283,186 @@ class LedgerState:
 
     # -- append-only tables ----------------------------------------------
 
-    def _positioned(
-        self, table: str, schema: T.StructType, folders: list[str] | None = None
-    ) -> DataFrame:
-        return self._read(table, T.StructType([*schema.fields, T.StructField("band", T.LongType())]), folders)
+    def events_table(self, table: str) -> str:
+        """The name of the catalog table of ``table``, which is made if this session lacks it."""
+        name = f"{table}_{hashlib.md5(self.root.encode()).hexdigest()[:16]}"
+        if not self.spark.catalog.tableExists(name):
+            columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in _POSITIONED[table].fields]
+            by = ", ".join((*PARTITION_KEY, "band"))
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}, band bigint) "
+                f"USING parquet PARTITIONED BY ({by}) LOCATION '{_quoted(f"{self.root}/{table}")}'"
+            )
+        return name
+
+    def _events(self, table: str, bands: list[tuple[str, int, int]]) -> DataFrame:
+        """The table, of which the catalog knows at least the given (topic, partition, band).
+
+        Sessions that share a metastore share its partitions; any other learns from
+        the journal which ones there are. No folder is listed for that.
+        """
+        name = self.events_table(table)
+        missing = [b for b in bands if (table, *b) not in self._known]
+        for k in range(0, len(missing), 500):
+            specs = " ".join(
+                f"PARTITION (kafka_topic='{_quoted(t)}', kafka_partition={p}, band={b})" for t, p, b in missing[k : k + 500]
+            )
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+        self._known.update((table, *b) for b in missing)
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
 
     def raw_events(self) -> DataFrame:
-        return self._positioned("raw_cdc_events", RAW_EVENTS).select(*RAW_EVENTS.names)
+        return self._every("raw_cdc_events")
 
     def dead_letters(self) -> DataFrame:
-        return self._positioned("cdc_dead_letters", DEAD_LETTERS).select(*DEAD_LETTERS.names)
-
-    def _children(self, folder: str) -> list[str]:
-        """Names in one folder, none if it is missing."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        return self._every("cdc_dead_letters")
+
+    def _every(self, table: str) -> DataFrame:
+        journal = self._journal()
+        bands = self._bands(self._stored(journal))
+        begun = {(t, p, b) for _, t, p, low, high in journal.open for b in range(low // BAND, high // BAND + 1)}
+        known = {(t, p, b) for t, p, b, _ in bands}
+        return self._events(table, sorted(known | begun)).select(*_POSITIONED[table].names)
+
+    # -- the journal of stored offsets -------------------------------------
+
+    def _journal_rows(self) -> DataFrame:
+        return self._read("ingest_journal", T.StructType([*_JOURNAL.fields, T.StructField("generation", T.IntegerType())]))
+
+    def _write_journal(self, rows: DataFrame, generation: int, mode: str = "append") -> None:
+        rows.coalesce(1).write.mode(mode).parquet(f"{self.root}/ingest_journal/generation={generation}")
+
+    def _journal(self) -> Journal:
+        """One small read: at most a few appends' rows besides the ranges, which stay where they are."""
+        rows = self._journal_rows().where("kind <> 'stored'").collect()
+        # A generation counts once its base mark is there; the first one needs none.
+        generation = max((r["generation"] for r in rows if r["kind"] == "base"), default=0)
+        closed = {r["number"] for r in rows if r["kind"] == "closed"}
+        begun = {
+            (r["number"], *(r[c] for c in (*PARTITION_KEY, "low", "high")))
+            for r in rows
+            if r["kind"] == "started" and r["number"] not in closed
+        }
+        return Journal(generation, max((r["number"] for r in rows), default=0), tuple(sorted(begun)))
+
+    def _stored(self, journal: Journal) -> DataFrame:
+        rows = self._journal_rows().where((F.col("generation") == journal.generation) & (F.col("kind") == "stored"))
+        return rows.select(*PARTITION_KEY, "low", "high")
+
+    def _bands(self, ranges: DataFrame) -> list[tuple[str, int, int, int]]:
+        """(topic, partition, band, highest offset): one row for each partition folder."""
+        rows = ranges.groupBy(*PARTITION_KEY, F.floor(F.col("low") / BAND).cast("bigint").alias("band"))
+        return [tuple(r) for r in rows.agg(F.max("high").alias("high")).collect()]
+
+    def stored_ranges(self) -> DataFrame:
+        """(topic, partition, low, high): all offsets that are stored in full, as disjoint ranges."""
+        return intervals.merged(self._stored(self._journal()))
 
-    def band_folders(self, table: str, ranges: list[tuple[str, int, int, int]]) -> list[str]:
-        """Folders that can hold the offsets of (topic, partition, low, high).
-
-        Lists the bands of those partitions, never files, whatever the history.
-        """
-        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        found = []
-        for topic, partition, low, high in ranges:
-            own = f"kafka_topic={escape(topic)}/kafka_partition={partition}"
-            for name in self._children(f"{self.root}/{table}/{own}"):
-                if name.startswith("band=") and low // BAND <= int(name[5:]) <= high // BAND:
-                    found.append(f"{own}/{name}")
-        return found
-
-    # -- marks -----------------------------------------------------------
+    def marks(self) -> DataFrame:
+        """(topic, partition, high): the highest offset that is stored in full."""
+        return self._stored(self._journal()).groupBy(*PARTITION_KEY).agg(F.max("high").alias("high"))
 
-    def _mark_numbers(self) -> list[int]:
-        names = self._children(f"{self.root}/ingest_marks")
-        return sorted(int(n[5:]) for n in names if n.startswith("mark="))
+    def store(self, batch: dict[str, DataFrame]) -> None:
+        """Store the rows of each table that are not stored yet; repeating it changes nothing."""
+        begun = self._begin(*batch.values())
+        if begun is not None:
+            for table, rows in batch.items():
+                self._insert(rows, table, begun)
+            self._end(begun, [o[1:] for o in begun.open if o[0] == begun.number], *batch.values())
 
-    def marks(self) -> DataFrame:
-        """(topic, partition, high): the offsets that are stored in full."""
-        for number in reversed(self._mark_numbers()):
-            folder = f"{self.root}/ingest_marks/mark={number}"
-            if "_SUCCESS" in self._children(folder):
-                return self.spark.read.schema(MARKS).parquet(folder)
-        return self.spark.createDataFrame([], MARKS)
+    def append_absent(self, rows: DataFrame, table: str) -> None:
+        """The first half of :meth:`store`: the rows are there, but no job reads them yet."""
+        begun = self._begin(rows)
+        if begun is not None:
+            self._insert(rows, table, begun)
 
     def complete(self, *batches: DataFrame) -> None:
-        """Make the offsets of rows that are stored in full visible to the jobs.
-
-        A batch holds everything between the last one and its own highest offset.
-        """
-        rows = self.marks()
-        for batch in batches:
-            rows = rows.unionByName(batch.select(*PARTITION_KEY, F.col("kafka_offset").alias("high")))
-        rows = rows.groupBy(*PARTITION_KEY).agg(F.max("high").alias("high"))
-        numbers = self._mark_numbers()
-        new = numbers[-1] + 1 if numbers else 1
-        rows.coalesce(1).write.parquet(f"{self.root}/ingest_marks/mark={new}")
-        for old in numbers[:-KEPT_MARKS]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/ingest_marks/mark={old}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        """Make the offsets of rows that are stored in full visible to the jobs."""
+        self._end(self._journal(), self._spans(*batches), *batches)
+
+    def _spans(self, *batches: DataFrame) -> list[tuple]:
+        rows = batches[0].select(*POSITION)
+        for batch in batches[1:]:
+            rows = rows.unionByName(batch.select(*POSITION))
+        return [tuple(r) for r in intervals.extents(rows).collect()]  # one row per Kafka partition
+
+    def _begin(self, *batches: DataFrame) -> Journal | None:
+        """Announce the offsets of an append. Of what was open before, the result keeps
+        what overlaps them, besides the append itself."""
+        spans = self._spans(*batches)
+        if not spans:
+            return None
+        journal = self._journal()
+        number = journal.number + 1
+        own = [(number, *span) for span in spans]
+        started = [(n, "started", t, p, low, high) for n, t, p, low, high in own]
+        self._write_journal(self.spark.createDataFrame(started, _JOURNAL), journal.generation)
+        near = {(t, p): (low, high) for t, p, low, high in spans}
+        reach = lambda t, p: near.get((t, p), (1, 0))
+        older = [o for o in journal.open if o[3] <= reach(*o[1:3])[1] and o[4] >= reach(*o[1:3])[0]]
+        return Journal(journal.generation, number, (*older, *own))
+
+    def _insert(self, rows: DataFrame, table: str, begun: Journal) -> None:
+        """Insert the rows whose offset no range covers, one per position."""
+        fresh = intervals.uncovered(first_per_position(rows), self._stored(begun))
+        older = [o[1:] for o in begun.open if o[0] < begun.number]
+        if older:
+            # An append that did not end may have left rows that no range covers.
+            bands = sorted({(t, p, b) for t, p, low, high in older for b in range(low // BAND, high // BAND + 1)})
+            left = self._events(table, bands).where(_within([(t, p, low, high) for t, p, low, high in older]))
+            fresh = absent_rows(fresh, left)
+        placed = fresh.withColumn("band", F.floor(F.col("kafka_offset") / BAND).cast("bigint"))
+        sized = placed.hint("rebalance", *PARTITION_KEY, "band").sortWithinPartitions(*PARTITION_KEY, "kafka_offset")
+        name = self.events_table(table)
+        sized.select(*self.spark.table(name).columns).write.insertInto(name)
+
+    def _end(self, begun: Journal, spans: list[tuple], *batches: DataFrame) -> None:
+        """Add the ranges of rows that are stored in full, which span ``spans``, and close
+        the open appends that spanned no more."""
+        number = begun.number + 1
+        own = {s[:2]: s[2:] for s in spans}
+        beyond = {n for n, t, p, low, high in begun.open if not ((t, p) in own and own[t, p][0] <= low and high <= own[t, p][1])}
+        closed = sorted({o[0] for o in begun.open} - beyond) or [number]
+        marks = self.spark.createDataFrame([(n, "closed", None, None, None, None) for n in closed], _JOURNAL)
+        rows = batches[0].select(*POSITION)
+        for batch in batches[1:]:
+            rows = rows.unionByName(batch.select(*POSITION))
+        ranges = intervals.islands(rows, BAND).select(
+            F.lit(number).cast("bigint").alias("number"), F.lit("stored").alias("kind"), *PARTITION_KEY, "low", "high"
+        )
+        self._write_journal(ranges.unionByName(marks), begun.generation)
+        if number % JOURNAL_APPENDS == 0:
+            self.merge_journal()
+
+    def merge_journal(self) -> None:
+        """Begin a new generation of the journal with merged ranges, and empty the one before the last."""
+        journal = self._journal()
+        new = journal.generation + 1
+        number = journal.number + 1
+        whole = intervals.merged(self._stored(journal), BAND)
+        base = whole.select(F.lit(number).cast("bigint").alias("number"), F.lit("stored").alias("kind"), *PARTITION_KEY, "low", "high")
+        base.write.mode("overwrite").parquet(f"{self.root}/ingest_journal/generation={new}")
+        rows = [(number, "base", None, None, None, None)]
+        rows += [(n, "started", t, p, low, high) for n, t, p, low, high in journal.open]
+        self._write_journal(self.spark.createDataFrame(rows, _JOURNAL), new)
+        if journal.generation > 0:
+            # Readers of the last generation go on; the one before it becomes a folder without rows.
+            self._write_journal(self.spark.createDataFrame([], _JOURNAL), journal.generation - 1, "overwrite")
+
+    # -- incremental reads -------------------------------------------------
 
     def _raw_from(self, head: Commit, first: int) -> DataFrame:
-        """Raw events up to the marks, from ``first`` beyond each checkpoint's folder."""
-        marks = self.marks()
+        """Raw events up to the marks, from ``first`` beyond each checkpoint's folder on."""
+        bands = self._bands(self._stored(self._journal()))
+        marks: dict[tuple, int] = {}
+        for t, p, _, high in bands:
+            marks[t, p] = max(high, marks.get((t, p), high))
         done = {(r[0], r[1]): r[2] for r in self.checkpoints(head).select(*CHECKPOINTS.names[:3]).collect()}
-        ranges = []
-        for topic, partition, high in marks.collect():  # one row per Kafka partition
-            low = done.get((topic, partition), -1) + first
-            if low <= high:
-                ranges.append((topic, partition, max(low, 0), high))
-        rows = self._positioned("raw_cdc_events", RAW_EVENTS, self.band_folders("raw_cdc_events", ranges))
-        visible = rows.join(marks, PARTITION_KEY).where(F.col("kafka_offset") <= F.col("high"))
-        return visible.select(*RAW_EVENTS.names)
+        lows = {key: done.get(key, -1) + first for key in marks}
+        wanted = [(*key, max(lows[key], 0) // BAND * BAND, high) for key, high in marks.items() if lows[key] <= high]
+        known = [(t, p, b) for t, p, b, high in bands if lows[t, p] <= marks[t, p] and b >= max(lows[t, p], 0) // BAND]
+        return self._events("raw_cdc_events", known).where(_within(wanted)).select(*RAW_EVENTS.names)
 
     def unprocessed_raw(self, head: Commit) -> DataFrame:
         """Raw events without the folders that lie wholly below the checkpoints.
@@ -272,24 +476,19 @@ class LedgerState:
         that was stored, so every partition's newest event is among them."""
         return self._raw_from(head, 0)
 
-    def append_absent(self, rows: DataFrame, table: str) -> None:
-        """Insert-if-absent by position; repeating it changes nothing."""
-        schema = {"raw_cdc_events": RAW_EVENTS, "cdc_dead_letters": DEAD_LETTERS}[table]
-        touched = (
-            rows.groupBy(*PARTITION_KEY)
-            .agg(F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high"))
-            .collect()
-        )  # one row per Kafka partition
-        if not touched:
-            return
-        stored = self._positioned(table, schema, self.band_folders(table, [tuple(t) for t in touched]))
-        stored = stored.where(F.col("kafka_offset") >= min(t["low"] for t in touched))
-        fresh = (
-            absent_rows(rows, stored)
-            .withColumn("band", F.floor(F.col("kafka_offset") / BAND).cast("bigint"))
-            .hint("rebalance", *PARTITION_KEY, "band")
-            .sortWithinPartitions(*PARTITION_KEY, "kafka_offset")
-        )
-        fresh.write.mode("append").partitionBy(*PARTITION_KEY, "band").parquet(
-            f"{self.root}/{table}"
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _within(spans: list[tuple[str, int, int, int]]) -> Column:
+    """Offsets low..high of (topic, partition, low, high), said of the partition columns as well."""
+    condition = F.lit(False)
+    for topic, partition, low, high in spans:
+        condition = condition | (
+            (F.col("kafka_topic") == topic)
+            & (F.col("kafka_partition") == partition)
+            & F.col("band").between(low // BAND, high // BAND)
+            & F.col("kafka_offset").between(low, high)
         )
+    return condition

@@ -8,7 +8,7 @@ from tallyline.plans import jobs
 from tallyline.plans.state import LedgerState
 from tallyline.schemas import MESSAGES
 from tallyline.sources.messages import file_stream, read_messages
-from tallyline.streaming import ingestion
+from tallyline.streaming import ingestion, latest
 
 # Of 1,000 events those whose id modulo 16 is 1 to 8 are malformed.
 DEAD = sum(1 <= n % 16 <= 8 for n in range(1000))
@@ -42,15 +42,15 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, inbox, tmp_path):
 
 def test_failure_between_the_two_appends(spark, inbox, tmp_path, monkeypatch):
     state = LedgerState(spark, str(tmp_path / "state"))
-    append = LedgerState.append_absent
+    insert = LedgerState._insert
 
-    def fail_on_dead_letters(self, rows, table):
+    def fail_on_dead_letters(self, rows, table, begun):
         if table == "cdc_dead_letters":
             raise RuntimeError("storage lost")
-        append(self, rows, table)
+        insert(self, rows, table, begun)
 
     with monkeypatch.context() as broken:
-        broken.setattr(LedgerState, "append_absent", fail_on_dead_letters)
+        broken.setattr(LedgerState, "_insert", fail_on_dead_letters)
         with pytest.raises(Exception, match="storage lost"):
             run(spark, inbox, state, str(tmp_path / "progress"))
     assert state.raw_events().count() > 0 and state.dead_letters().isEmpty()
@@ -62,16 +62,7 @@ def test_failure_between_the_two_appends(spark, inbox, tmp_path, monkeypatch):
 
 def test_stream_applies_ledger_events(spark, sf, tmp_path):
     events = D.ledger_events(D.table(spark, sf, "orders"))
-    code = "case operation when 'INSERT' then 'c' when 'UPDATE' then 'u' else 'd' end"
-    messages = events.selectExpr(
-        "cast(to_json(record_key) as binary) key",
-        f"""cast(concat('{{"op":"', {code}, '","before":', to_json(before_payload), ',"after":',
-            to_json(after_payload), ',"source":{{"db":"ledger_source","schema":"public","table":"ledger_entries"',
-            coalesce(concat(',"ts_ms":', unix_millis(source_timestamp)), ''),
-            ',"lsn":"', source_lsn, '"}},"ts_ms":', unix_millis(event_timestamp), '}}') as binary) value""",
-        "kafka_topic topic", "kafka_partition partition", "kafka_offset offset",
-        "kafka_timestamp timestamp", "cast(null as array<struct<key:string,value:binary>>) headers",
-    ).select(*MESSAGES.names)
+    messages = D.ledger_messages(events).select(*MESSAGES.names)
     folder = str(tmp_path / "inbox")
     for low, high in ((0, 2000), (2000, 9999)):
         messages.where(f"offset >= {low} and offset < {high}").coalesce(1).write.mode("append").parquet(folder)
@@ -89,3 +80,20 @@ def test_stream_applies_ledger_events(spark, sf, tmp_path):
     counts = jobs.reliability(state).summary.first()["reconciliation_result_counts"]
     assert counts == {"MATCH": 600, "AMOUNT_MISMATCH": 300, "MISSING_RECORD": 300,
                       "DUPLICATE_RECORD": 150, "STATUS_MISMATCH": 150}
+
+
+def test_keyed_latest_over_several_batches_and_a_restart(spark, sf, tmp_path):
+    """Batches out of order, repeated ones and a restart leave the ledger of the batch job."""
+    events = D.ledger_events(D.table(spark, sf, "orders").limit(300))
+    messages = D.ledger_messages(events)
+    folder = str(tmp_path / "inbox")
+    late = F.col("offset") % 5 == 0
+    parts = [messages.where(~late & (F.col("offset") < 3000)), messages.where(~late), messages.where(late), messages]
+    state = LedgerState(spark, str(tmp_path / "state"), buckets=4)
+    for part in parts:  # each start goes on from the state and the files of the one before
+        part.coalesce(1).write.mode("append").parquet(folder)
+        latest.start_keyed_latest(file_stream(spark, folder, 1), state, str(tmp_path / "progress")).awaitTermination()
+    streamed = state.ledger(state.head()).drop("refreshed_at")
+    batch = D.ledger_of(events).drop("refreshed_at")
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()

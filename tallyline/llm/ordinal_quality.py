@@ -142,7 +142,10 @@ def fit(
 
 
 def train(docs: DataFrame, ratings: DataFrame, sample: int = 8_000, least: int = 4) -> OrdinalModel | None:
-    """Fit on the texts of at most `sample` rows of `ratings` (doc_id, grade from 0)."""
+    """Fit on the texts of at most `sample` ids of `ratings` (doc_id, grade from 0).
+
+    An id that several rows of `docs` share counts once, with the smallest of their texts.
+    """
     rated = (
         ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade"))
         .where("doc_id is not null and grade >= 0")
@@ -171,6 +174,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = 8_000, least: int =
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rated), "doc_id")
+    texts = texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     found = stored(texts.select("doc_id", "grade", "text").mapInArrow(run, out), "rated-features")
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +211,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = 8_000, least: int =
                 names=["weights", "thresholds"],
             )
 
-    # One task fits the model: it holds `sample` documents, whatever the table.
+    # One task fits the model: it holds at most `sample` documents, whatever the table.
     solved = found.repartition(1).mapInArrow(solve, "weights binary, thresholds array<double>").collect()
     if not solved:
         return None

@@ -159,7 +159,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         end_id=2,
         vocabulary=49_408,
     )
-    return token_output.read_tokens(spark, files).drop("ids")
+    return token_output.read_tokens(spark, files.path).drop("ids")
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,9 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float =
     return out
 
 
+MOST_BALLS = 10**9 - 1
+
+
 def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """Blocks of each source (columns) for each shard (rows); columns add up to the quotas."""
     rng = np.random.default_rng(seed)
@@ -73,9 +76,14 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
             need -= int(part[i])
         return split(part, left) + split(own - part, n - left)
 
-    if quotas.sum() >= 10**9:
-        raise ValueError("over 10**9 blocks: choose larger blocks")
-    return np.array(split(quotas.astype(np.int64), shards))
+    # The generator draws from fewer than 10**9 balls. Beyond that a ball stands for several blocks of one
+    # source, and the blocks left over, fewer than that for each source, go to shards in turn.
+    quotas = quotas.astype(np.int64)
+    each = int(quotas.sum()) // MOST_BALLS + 1
+    out = np.array(split(quotas // each, shards)) * each
+    for i, left in enumerate((quotas % each).tolist()):
+        out[(np.arange(shards) + i) % shards, i] += left // shards + (np.arange(shards) < left % shards)
+    return out
 
 
 def plan_sources(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST_ROUNDS) -> list[dict]:
@@ -228,11 +236,12 @@ def taken_words(sized: DataFrame, drawn: DataFrame, sources: list[dict]) -> Data
 def mixed_documents(docs: DataFrame, shards: int = 16, seed: int = 11) -> DataFrame:
     """A mix of whole documents with the columns of `docs`, one row each time a document is taken.
 
-    Shard by shard, each shuffled by hash.
+    Shard by shard, each shuffled by hash; ranges of this order, not shards, are the tasks.
     """
     _, drawn, _ = mix(docs, 1 << 40, shards, seed)
     own = Window.partitionBy("tie").orderBy("row.doc_id")
     texts = docs.select(_tie(), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
     texts = texts.withColumn("copy", F.row_number().over(own)).where("copy = 1").drop("copy")
     rows = drawn.select("tie", "shard", "place").join(texts, "tie")
-    return rows.repartition("shard").sortWithinPartitions("shard", "place").select("row.*")
+    ranged = rows.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    return ranged.select("row.*")

@@ -3,7 +3,8 @@
 The files are Parquet rows in ascending document order, each a *segment* of whole documents:
 `doc_ids` and `doc_tokens` are its index, `payload` the code bits of all its ids, and `checkpoints`
 the bit offset of every block of 512 ids (a block belongs to one document). Blocks decode
-independently. The code lengths, one per vocabulary id, lie beside the segments.
+independently. The code lengths, one per vocabulary id, lie beside the segments in `code`, so the
+folder alone can be read.
 
 Null texts count as empty and hold the end id alone. Null document ids come first; documents with equal ids are ordered
 by the checksum of their ids, each its own row. An empty table gives empty files. Extra columns of the
@@ -33,6 +34,8 @@ SEGMENT = (
     "checkpoints array<long>, payload binary"
 )
 SEGMENT_TOKENS = 1 << 19
+# One row: the longest code allowed, and the code length of each id as a byte.
+CODE = "code_limit int, lengths binary"
 
 
 @dataclass
@@ -132,9 +135,17 @@ def write_tokens(
     ordered.select("doc_id", "ids").mapInArrow(run, SEGMENT).write.option("compression", "uncompressed").parquet(
         f"{path}/segments"
     )
+    code = [(limit, bytearray(lengths.astype(np.uint8).tobytes()))]
+    spark.createDataFrame(code, CODE).coalesce(1).write.parquet(f"{path}/code")
     return TokenFiles(path, lengths, limit)
 
 
+def open_tokens(spark: SparkSession, path: str) -> TokenFiles:
+    """The corpus that `write_tokens` wrote to `path`."""
+    limit, lengths = spark.read.schema(CODE).parquet(f"{path}/code").first()
+    return TokenFiles(path, np.frombuffer(bytes(lengths), np.uint8).astype(np.int64), limit)
+
+
 def _block_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First id and size of each block of documents with `counts` ids."""
     blocks = -(-counts // huffman.BLOCK)
@@ -144,8 +155,12 @@ def _block_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, size
 
 
-def read_tokens(spark: SparkSession, files: TokenFiles) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids): the decoded documents, ids as 4-byte integers."""
+def read_tokens(spark: SparkSession, files: TokenFiles | str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids): the decoded documents, ids as 4-byte integers.
+
+    `files` is a written corpus or the path of its folder.
+    """
+    files = open_tokens(spark, files) if isinstance(files, str) else files
     lengths, limit = files.lengths, files.limit
 
     def run(batches):

@@ -84,3 +84,29 @@ def test_query_covers_all_documents(spark, sf):
     assert sum(clean) >= 0.97 * len(clean)
     bad = [r.kept for r in rows if r.doc_id in labels and not labels[r.doc_id].quality]
     assert sum(bad) <= 0.1 * len(bad)
+
+
+def test_a_rated_id_counts_once_however_often_it_is_repeated(spark):
+    show_package(spark)
+    rows = [(i, f"{'good fine nice' if i % 2 else 'bad poor weak'} word{i % 5}") for i in range(40)]
+    grades = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, grade int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame([*rows, *[(3, "zzz other text")] * 300], "doc_id long, text string")
+    a, b = quality.train(once, grades), quality.train(often, grades)
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.thresholds, b.thresholds)
+
+
+def test_query_against_a_plain_reading_of_the_fitted_model(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train(docs, quality.label_grades(spark.read.parquet(f"{sf}/labels.parquet")))
+    got = {r.doc_id: r for r in registry.op7_quality_grades(spark, sf).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        _, ids, values = quality.features(data, np.array([0, len(data)]))
+        score = sum(float(model.weights[i]) * float(v) for i, v in zip(ids, values, strict=True))
+        tails = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        assert got[r.doc_id].expected_grade == pytest.approx(sum(tails), rel=1e-5, abs=1e-7)
+        assert got[r.doc_id].tail_probability == pytest.approx(tails[1], rel=1e-5, abs=1e-7)
+        assert got[r.doc_id].kept == (got[r.doc_id].tail_probability >= 0.5)

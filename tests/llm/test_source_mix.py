@@ -115,3 +115,12 @@ def test_whole_documents_keep_their_columns(spark):
     assert {(r.doc_id, r.text) for r in out.collect()} <= {(r[0], r[2]) for r in rows}
     counts = out.groupBy("source").count().collect()
     assert {r.source: r["count"] for r in counts} == pytest.approx({"a": 200 * 5 / 7, "b": 200 * 2 / 7}, abs=1)
+
+
+def test_quotas_of_any_size_stay_exact():
+    quotas = np.array([5 * 10**12 + 3, 7, 0, 10**9, 123_456_789_012])
+    cut = source_mix.split_quotas(quotas, 16, 3)
+    assert (cut >= 0).all() and cut.sum(0).tolist() == quotas.tolist()
+    assert cut.sum(1).max() - cut.sum(1).min() < 1e-6 * quotas.sum()
+    small = np.array([400, 30, 0, 999])
+    assert (source_mix.split_quotas(small, 16, 3) == source_mix.split_quotas(small, 16, 3)).all()

@@ -43,8 +43,11 @@ def test_round_trip_of_odd_texts(spark, tmp_path):
     rows = [(10 - i, t) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, ids string, shard int")
     files = token_output.write_tokens(docs, PATH, 2, 49_408, path=str(tmp_path / "files"))
-    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_output.read_tokens(spark, files).collect()}
-    assert got == expected(rows)
+    for source in (files, str(tmp_path / "files")):  # the folder alone is enough
+        got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_output.read_tokens(spark, source).collect()}
+        assert got == expected(rows)
+    again = token_output.open_tokens(spark, str(tmp_path / "files"))
+    assert again.limit == files.limit and (again.lengths == files.lengths).all()
 
 
 def test_null_and_repeated_ids_are_rows_of_their_own(spark, tmp_path):

@@ -405,7 +405,9 @@ class LedgerState:
 
     def _insert(self, rows: DataFrame, table: str, begun: Journal) -> None:
         """Insert the rows whose offset no range covers, one per position."""
-        fresh = intervals.uncovered(first_per_position(rows), self._stored(begun))
+        own = [o[1:] for o in begun.open if o[0] == begun.number]
+        span = self.spark.createDataFrame(own, "kafka_topic string, kafka_partition int, first_offset bigint, last_offset bigint")
+        fresh = intervals.uncovered(first_per_position(rows), self._stored(begun), span)
         older = [o[1:] for o in begun.open if o[0] < begun.number]
         if older:
             # An append that did not end may have left rows that no range covers.

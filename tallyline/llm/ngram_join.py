@@ -242,7 +242,8 @@ def _shared(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
 def _found(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The stored pairs (a, b) that link."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "pair-classes")
-    sets = stored(_sets_of(docs, wanted, size), "pair-sets", "uncompressed")
+    # Both sides of the verification read the one shuffle by class that makes the sets unique.
+    sets = _sets_of(docs, wanted, size)
     return stored(_verified(pairs, sets, percent), "links")
 
 

@@ -93,3 +93,15 @@ def test_query_over_whole_documents(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 and toxic = 0").collect()}
     check(registry.op5_lm_difference(spark, sf).collect(), plain(rows, good, 2e-6, 1e-6, 50.0))
+
+
+def test_long_words_that_differ_in_their_arrangement_alone(spark):
+    show_package(spark)
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{one} x {one}"), (2, f"{other} x"), (3, f"{one} {other}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm_difference.cross_entropy_difference(docs, docs.where("doc_id = 1").select("doc_id"), 0.0, 0.0, 2.0).collect()
+    check(got, plain(rows, {1}, 0.0, 0.0, 2.0))

@@ -23,7 +23,7 @@ def ingest_batch(
     batch = parse_messages(messages, consumer_group, F.lit(clock()))
     batch.parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        state.store({"raw_cdc_events": batch.valid(), "cdc_dead_letters": batch.dead_letters()})
+        state.store({"raw_cdc_events": batch.valid(), "cdc_dead_letters": batch.dead_letters()}, staged=False)
     finally:
         batch.parsed.unpersist()
 

@@ -15,6 +15,8 @@ from tallyline.schemas import AMOUNT, LEDGER, RAW_EVENTS, RUNS
 
 EPOCH = 1767225600  # 2026-01-01T00:00:00Z
 TOPIC = "cdc.ledger_entries"
+# Orders or events that one task renders as messages.
+ROWS_PER_TASK = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by ``key`` to as many tasks as their number asks for.
+
+    They are narrow here and grow manyfold when texts are rendered from them and read again, so
+    their bytes, by which adaptive execution would join partitions, say nothing of the work.
+    A stream cannot be counted before it is read; it gets several tasks a core.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = 8 * cores if rows.isStreaming else max(cores, -(-rows.count() // ROWS_PER_TASK))
+    return rows.repartition(tasks, key)
+
+
 def instant(seconds: int | Column) -> Column:
     return F.timestamp_seconds(F.lit(seconds) if isinstance(seconds, int) else seconds)
 
@@ -52,12 +66,12 @@ def ledger_events(orders: DataFrame, defective: bool = False) -> DataFrame:
     update = slot(3, "UPDATE", "book", "", "price + 5", "'USD'", "capital")
     delete = slot(3, "DELETE", "book", "", "price + 5", "'USD'", "capital")
     seconds = f"({EPOCH} + k * 10 + slot)"
+    narrow = orders.selectExpr("o_orderkey as k", "o_orderstatus", "o_orderdate",
+                               f"cast(o_totalprice as {AMOUNT}) as price")
     rows = (
-        orders.selectExpr("o_orderkey as k", "o_orderstatus", "o_orderdate",
-                          f"cast(o_totalprice as {AMOUNT}) as price")
         # A topic arrives in many splits however its table was written: the narrow
         # source columns are dealt out before texts are rendered from them.
-        .repartition("k")
+        dealt(narrow, "k")
         .selectExpr("k", "price", "date_format(o_orderdate, 'yyyy-MM-dd') as day",
                     f"{ruled} as ruled", f"{capital} as capital")
         .selectExpr("k", "day", f"""inline(array_compact(array(
@@ -273,12 +287,13 @@ def _with_envelopes(rows: DataFrame) -> DataFrame:
 def envelope_messages(events: DataFrame) -> DataFrame:
     """The events as CDC messages in the Kafka layout. Sixteen forms take turns,
     eight of them malformed, and every twentieth message is delivered twice."""
-    rows = events.selectExpr(
+    narrow = events.selectExpr(
         "event_id",
         "props",
         "event_id % 16 as kind",
         "unix_millis(cast(ts as timestamp)) as ms",
-    ).repartition("event_id").selectExpr("*", "explode(if(event_id % 20 = 0, array(0, 1), array(0))) as copy")
+    )
+    rows = dealt(narrow, "event_id").selectExpr("*", "explode(if(event_id % 20 = 0, array(0, 1), array(0))) as copy")
     return _with_envelopes(rows).selectExpr(
         """cast(if(kind = 7, '{broken', concat('{"marker":"m-', event_id, '"}')) as binary) as key""",
         "cast(text as binary) as value",
@@ -294,10 +309,11 @@ def envelope_lines(events: DataFrame) -> DataFrame:
     """The events as well-formed JSON lines, some delivered twice, some wrapped,
     some of another operation or table, with blank lines in between."""
     # Of the envelope forms only those that are valid JSON and hold an image.
-    rows = events.selectExpr(
+    narrow = events.selectExpr(
         "event_id",
         "props",
         "case event_type when 'click' then 9 when 'error' then 11 when 'view' then 14 else 0 end as kind",
         "unix_millis(cast(ts as timestamp)) as ms",
-    ).repartition("event_id").selectExpr("*", "explode(if(event_id % 20 = 0, array(0, 1, 2), array(0, 2))) as copy")
+    )
+    rows = dealt(narrow, "event_id").selectExpr("*", "explode(if(event_id % 20 = 0, array(0, 1, 2), array(0, 2))) as copy")
     return _with_envelopes(rows).selectExpr("if(copy = 2, '  ', text) as line")

@@ -81,7 +81,10 @@ def string_of(value: str) -> str:
 
 def number_of(value: str) -> str:
     """A JSON number as decimal(18,3); NULL for other kinds and beyond 10^15."""
-    return f"""case when schema_of_variant({value}) in ('BIGINT', 'DOUBLE', 'FLOAT')
+    # A whole number is read as such: for another type each row would set up a cast.
+    return f"""case when schema_of_variant({value}) = 'BIGINT'
+                    then try_cast(try_variant_get({value}, '$', 'bigint') as decimal(18,3))
+                    when schema_of_variant({value}) in ('DOUBLE', 'FLOAT')
                       or schema_of_variant({value}) like 'DECIMAL%'
                     then try_variant_get({value}, '$', 'decimal(18,3)') end"""
 
@@ -133,5 +136,7 @@ def merged_text(base: str, overlay: str) -> str:
         empty = f"variant_get(parse_json('{{}}'), '$', {kind})"
         return f"coalesce(try_variant_get({value}, '$', {kind}), {empty})"
 
-    kept = f"map_filter({as_map(base)}, (k, v) -> not map_contains_key({as_map(overlay)}, k))"
-    return f"to_json(map_concat({kept}, {as_map(overlay)}))"
+    # A lambda names both maps, so that each is made once and not once a key.
+    kept = "map_filter(m.base, (k, v) -> not map_contains_key(m.overlay, k))"
+    maps = f"array(named_struct('base', {as_map(base)}, 'overlay', {as_map(overlay)}))"
+    return f"transform({maps}, m -> to_json(map_concat({kept}, m.overlay)))[0]"

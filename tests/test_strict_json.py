@@ -3,6 +3,7 @@
 import json
 import random
 
+from tallyline.functions import json_text as J
 from tallyline.functions.json_text import with_strict_json
 
 SEEDS = [
@@ -53,3 +54,19 @@ def test_agrees_with_python_on_mutated_texts(spark):
         if found[n] is not None:
             expected = json.loads(text)
             assert json.loads(found[n]) == expected, text
+
+
+def test_merged_text_makes_each_map_once(spark):
+    """Not once for each key of the base."""
+    text = J.merged_text("a", "b")
+    assert text.count("try_variant_get(b,") == 1 and text.count("try_variant_get(a,") == 1
+    rows = spark.sql("""select parse_json(a) as a, parse_json(b) as b from values
+        ('{"x":1,"y":2}', '{"y":null}'), ('[1]', '{"z":"t"}'), (null, null), ('{"k":1}', '7') as t(a, b)""")
+    assert [r[0] for r in rows.selectExpr(text).collect()] == ['{"x":1,"y":null}', '{"z":"t"}', "{}", '{"k":1}']
+
+
+def test_whole_numbers_and_others_become_decimals(spark):
+    values = ["7", "-1", "1.5", "1e3", '"7"', "null", "true", "1000000000000000", "999999999999999", "92233720368547758070"]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string").selectExpr("i", "parse_json(t) as v")
+    got = [r[1] and str(r[1]) for r in rows.selectExpr("i", f"{J.number_of('v')} as n").orderBy("i").collect()]
+    assert got == ["7.000", "-1.000", "1.500", "1000.000", None, None, None, None, "999999999999999.000", None]

@@ -97,3 +97,13 @@ def test_keyed_latest_over_several_batches_and_a_restart(spark, sf, tmp_path):
     batch = D.ledger_of(events).drop("refreshed_at")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+
+
+def test_keyed_state_is_kept_on_disk(spark, inbox, tmp_path):
+    """One row a key outgrows a heap; the session's own setting stays as it was."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    state = LedgerState(spark, str(tmp_path / "state"), buckets=4)
+    latest.start_keyed_latest(file_stream(spark, inbox), state, str(tmp_path / "progress")).awaitTermination()
+    assert spark.conf.get(setting, None) == before
+    assert "RocksDBStateStoreProvider" in (tmp_path / "progress" / "offsets" / "0").read_text()

@@ -10,11 +10,11 @@ and V different words,
 
     P(w) = (c(w) + 1) / (N + V + 1)        P(w | h) = (c(h, w) + m P(w)) / (c(h) + m)
 
-The counts of frequent words and bigrams (at least `FREQUENT` of all, so at most 1 / `FREQUENT` of each) go to
-tasks, which finish their part of the losses. For all others a task sends one row per document and n-gram,
-grouped by the n-gram in a shuffle: what meets there is the whole count, and since no such n-gram is
-frequent, no group is large. Their losses go back to the documents as sums. How much is frequent changes
-only the way, not the result.
+Documents go into chunks of about `CHUNK` bytes of text. A task sends each distinct word and bigram of a chunk
+once: its sorted 64-bit hashes, as differences, with their counts, packed into one value for each range of hashes. The
+owner of a range adds up all chunks and sends to each the whole counts of its n-grams, in the same order and so
+without the hashes; these meet the texts again, where the losses are. A frequent n-gram is sent once a chunk, like any
+other. Chunks and ranges grow in number, not in size.
 
 A caller may cut the models: words below `word_share` of all count as one unknown word, bigrams below
 `bigram_share` as not seen. By default nothing is cut.
@@ -38,105 +38,78 @@ from tallyline.llm.storage import stored
 from tallyline.llm.text_arrays import LOWER, groups, mixed, range_hashes, text_bytes, word_bounds
 
 COUNTS = "key long, n long, t long"
-ASKS = "g long, s long, row long, info long, target_loss double, background_loss double"
-PARTS = "row long, doc_id long, n_words long, target_loss double, background_loss double"
+# The n-grams of a chunk in a range: `body` holds `n` entries. Even ranges are of words, odd ones of bigrams.
+SENT = "chunk int, range int, n int, body binary"
+# The counts of these n-grams; and, once a range of words, what all of its words add up to.
+TOTALS = ("words", "all_n", "all_t", "texts_n", "texts_t")
+ANSWERS = SENT + "".join(f", {c} long" for c in TOTALS)
+SCORES = "doc_id long, n_words long, target_loss double, background_loss double, difference double"
 BROADCAST_IDS = 2_000_000
 MERGE = 2_000_000
+CHUNK = 6 << 20
+# No n-gram is told apart by how frequent it is any more; a test still sets this.
 FREQUENT = 1e-6
-# What a row asks for: a bigram, a bigram and its rare word, a rare first word; or it is of a document.
-BIGRAM, WORD, BEFORE, DOCUMENT, NO_ID = range(5)
-_SALT = np.random.default_rng(7).integers(1, 1 << 63, 4, dtype=np.uint64)
+START, UNKNOWN, _BIGRAM = np.random.default_rng(7).integers(1, 1 << 63, 3, dtype=np.uint64)
 
 
-def _salted(hashes: np.ndarray, kind: int) -> np.ndarray:
-    return mixed(hashes + _SALT[kind])
+@dataclass
+class Cuts:
+    """What a caller's cuts leave: sorted hashes of known words; sorted kept bigrams and their first words with counts.
 
+    None: nothing is cut.
+    """
 
-@dataclass
-class Vocabulary:
-    """Sorted hashes of frequent words; a word's place is its number, any other word and the text start follow."""
+    known: np.ndarray | None = None
+    pairs: tuple[np.ndarray, np.ndarray] | None = None
+    before: tuple[np.ndarray, np.ndarray] | None = None
 
-    words: np.ndarray
+    def words(self, hashes: np.ndarray) -> np.ndarray:
+        if self.known is None:
+            return hashes
+        return np.where(_places(self.known, hashes)[1], hashes, UNKNOWN)
 
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        place = np.searchsorted(self.words, hashes)
-        place[place == len(self.words)] = 0
-        return np.where(self.words[place] == hashes, place, len(self.words)) if len(self.words) else place
 
-    def bigrams(self, hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(before, word) numbers of every word of texts that begin at the words `firsts`."""
-        word = self.number(hashes)
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        begin = firsts[:-1][np.diff(firsts) > 0]
-        before[begin] = len(self.words) + 1
-        return before, word
+def _places(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each asked key among sorted `keys`, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return place, keys[place] == asked
 
 
-@dataclass
-class Models:
-    """Both models: frequent words, their chances, sorted keys of frequent bigrams with counts, counts of first words.
+def _looked_up(table: tuple[np.ndarray, np.ndarray], asked: np.ndarray) -> np.ndarray:
+    """(2, asked): counts of the keys that `table` has, else 0."""
+    keys, counts = table
+    place, found = _places(keys, asked)
+    return counts[:, place] * found if len(keys) else np.zeros((2, len(asked)))
 
-    `cut_words`: all other words are one unknown word. `cut_bigrams`: other bigrams count as not seen.
-    """
 
-    vocabulary: Vocabulary
-    chance: np.ndarray
-    keys: np.ndarray
-    counts: np.ndarray
-    before: np.ndarray
-    weight: float
-    below: np.ndarray  # N + V + 1 of both models
-    cut_words: bool
-    cut_bigrams: bool
-
-    def asks(self, hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-        """(2, texts): sums of what frequent n-grams settle; and (kind, text, g, s, word number) for the rest."""
-        before, word = self.vocabulary.bigrams(hashes, firsts)
-        n_texts = len(firsts) - 1
-        text = np.repeat(np.arange(n_texts), np.diff(firsts))
-        other = len(self.vocabulary.words)
-        key = (before << 32) | word
-        if len(self.keys):
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            seen = self.keys[place] == key
-            count = self.counts[:, place] * seen
-        else:
-            seen, count = np.zeros(len(key), bool), np.zeros((2, len(key)))
-        rare_word = np.zeros(len(key), bool) if self.cut_words else word == other
-        rare_before = np.zeros(len(key), bool) if self.cut_words or self.cut_bigrams else before == other
-        settled = ~rare_word if self.cut_bigrams else seen & ~rare_word
-        loss = np.zeros((2, len(key)))
-        at = np.flatnonzero(settled)
-        loss[:, at] = -np.log(count[:, at] + self.weight * self.chance[:, word[at]])
-        at = np.flatnonzero(~rare_before)
-        loss[:, at] += np.log(self.before[:, before[at]] + self.weight)
-        # The hash of the word before, where that is rare, else its number.
-        previous = np.concatenate([hashes[:1], hashes[:-1]])
-        code = before.astype(np.uint64)
-        if not self.cut_words:
-            code = np.where(before == other, previous, code)
-        out = []
-        at = np.flatnonzero(~settled & ~rare_word)
-        pair = mixed(_salted(code[at], BIGRAM) + word[at].astype(np.uint64))
-        out.append((BIGRAM, text[at], pair, np.zeros(len(at), np.uint64), word[at]))
-        at = np.flatnonzero(rare_word)
-        out.append((WORD, text[at], _salted(hashes[at], WORD), code[at], np.zeros(len(at), np.int64)))
-        at = np.flatnonzero(rare_before)
-        out.append((BEFORE, text[at], _salted(previous[at], BEFORE), np.zeros(len(at), np.uint64), np.zeros(len(at), np.int64)))
-        return np.stack([np.bincount(text, x, n_texts) for x in loss]).astype(np.float64), out
-
-    def answers(self, kind: np.ndarray, number: np.ndarray, of_g: np.ndarray, of_s: np.ndarray) -> np.ndarray:
-        """(2, asks): the loss of one occurrence, from the counts (2, asks) of g and of (g, s)."""
-        out = np.zeros(of_g.shape)
-        at = np.flatnonzero(kind == BIGRAM)
-        out[:, at] = -np.log(of_g[:, at] + self.weight * self.chance[:, number[at]])
-        at = np.flatnonzero(kind == WORD)
-        seen = 0 if self.cut_bigrams else of_s[:, at]
-        out[:, at] = -np.log(seen + self.weight * (of_g[:, at] + 1) / self.below[:, None])
-        at = np.flatnonzero(kind == BEFORE)
-        out[:, at] = np.log(of_g[:, at] + self.weight)
-        return out
+def _contexts(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """The word before each word of texts that begin at the words `firsts`."""
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[_begins(firsts)] = START
+    return before
+
+
+def _begins(firsts: np.ndarray) -> np.ndarray:
+    return firsts[:-1][np.diff(firsts) > 0]
+
+
+def _bigrams(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    return mixed(mixed(_contexts(words, firsts) + _BIGRAM) + words)
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Whole numbers by the place of their bytes, so that the zeros of small ones take no room."""
+    wide = np.stack([x.astype("<u8") for x in columns])
+    planes = wide.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(body: bytes, columns: int, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(body, columns * n * 8, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(columns, 8, n).transpose(0, 2, 1)).view("<u8")[:, :, 0]
 
 
 def _hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,10 +155,12 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
     return found.groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
-def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys with counts of at least `least`, and their counts."""
-    kept = counts.where(F.col("n") >= least).toArrow()  # at most all / least rows
-    keys = kept.column("key").to_numpy()
+def _frequent(counts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with at least `share` of all, and their counts."""
+    counts = stored(counts, "counts")
+    least = share * (counts.agg(F.sum("n").alias("n")).first().n or 0)
+    kept = counts.where(F.col("n") >= least).toArrow()  # at most 1 / share rows
+    keys = kept.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     return keys[order], np.stack([kept.column(c).to_numpy()[order] for c in ("n", "t")]).astype(np.float64)
 
@@ -194,12 +169,6 @@ def _texts(firsts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
 
 
-def _ends(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The last word of each text that has words."""
-    text = np.flatnonzero(np.diff(firsts))
-    return hashes[firsts[1:][text] - 1].view(np.int64), text
-
-
 def flagged(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """(doc_id, target, text) of all documents."""
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
@@ -213,134 +182,154 @@ def flagged(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     )
 
 
-def train(docs: DataFrame, word_share: float, bigram_share: float, weight: float) -> Models:
-    """What tasks are given of both models, from all flagged documents."""
-    words = stored(_counted(docs, lambda h, firsts: (h.view(np.int64), _texts(firsts))), "words")
-    total = words.agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.count("*").alias("words")).first()
-    totals = np.array([total.n or 0, total.t or 0], np.float64)
-    # A frequent bigram has frequent words.
-    share = word_share or min(FREQUENT, bigram_share or FREQUENT)
-    keys, counts = _frequent(words, share * totals[0])
-    order = np.argsort(keys.view(np.uint64))
-    vocabulary = Vocabulary(keys.view(np.uint64)[order])
-    size = len(vocabulary.words)
-    unknown = (totals - counts.sum(1))[:, None]
-    counts = np.concatenate([counts[:, order], unknown], 1)
-    below = totals + (size if word_share else total.words) + 1
-    chance = (counts + 1) / below[:, None]
-
-    def pair_keys(hashes, firsts):
-        before, word = vocabulary.bigrams(hashes, firsts)
-        key, text = (before << 32) | word, _texts(firsts)
-        if not word_share:
-            both = (before != size) & (word != size)
-            key, text = key[both], text[both]
-        return key, text
-
-    pairs, together = _frequent(_counted(docs, pair_keys), (bigram_share or FREQUENT) * totals[0])
+def chunked(docs: DataFrame) -> tuple[DataFrame, int]:
+    """All flagged documents with the number of their chunk, and how many chunks there are."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    # Rows keep their numbers once they are stored, whatever is run again.
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), "*", size.alias("size")), "documents")
+    chunks = 1 + (rows.agg(F.sum("size").alias("size")).first().size or 0) // CHUNK
+    return rows.select(F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "target", "text"), chunks
+
+
+def train(docs: DataFrame, word_share: float, bigram_share: float) -> Cuts:
+    """What the cuts leave of both models, from all flagged documents."""
+    cuts = Cuts()
+    if word_share:
+        cuts.known = _frequent(_counted(docs, lambda h, firsts: (h.view(np.int64), _texts(firsts))), word_share)[0]
     if bigram_share:
-        before = np.stack([np.bincount(pairs >> 32, c, size + 2) for c in together])
-    else:
-        # A word is before another wherever it is not the last; every text with words has a start.
-        last = stored(_counted(docs, _ends), "last-words")
-        texts = last.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-        ends, of_end = _frequent(last.join(words.where(F.col("n") >= share * totals[0]).select("key"), "key", "left_semi"), 0)
-        texts = np.array([texts.n or 0, texts.t or 0], np.float64)
-        gone = np.stack([np.bincount(vocabulary.number(ends.view(np.uint64)), c, size + 1) for c in of_end])
-        gone[:, size] = texts - gone.sum(1)
-        before = np.concatenate([counts - gone, texts[:, None]], 1)
-    return Models(vocabulary, chance, pairs, together, before, weight, below, bool(word_share), bool(bigram_share))
-
-
-def _asked(docs: DataFrame, models: Models) -> DataFrame:
-    """One row per document with the losses of frequent n-grams, and one per document and other n-gram."""
-
-    def rows(kind, row, target, g, s, number, n, losses=None):
-        info = (number << 35) | (n << 4) | (target << 3) | kind
-        losses = np.zeros((2, len(row))) if losses is None else losses
-        columns = [g.view(np.int64), s.view(np.int64), row, info, losses[1], losses[0]]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[c.split()[0] for c in ASKS.split(", ")])
+        words_only = Cuts(cuts.known)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, ids = batch.column(0).to_numpy(), batch.column(1)
-            doc_id = ids.fill_null(0).to_numpy()
-            null = ids.is_null().to_numpy(zero_copy_only=False)
-            target = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            data, bounds = text_bytes(batch.column(3))
-            for a, b in groups(bounds):
-                hashes, firsts = _hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
-                losses, asks = models.asks(hashes, firsts)
-                kind = np.where(null[a:b], NO_ID, DOCUMENT)
-                own = row[a:b]
-                yield rows(kind, own, target[a:b], mixed(own.view(np.uint64)), doc_id[a:b], np.zeros(b - a, np.int64), np.diff(firsts), losses)
-                for kind, text, g, s, number in asks:
-                    order = np.lexsort((s, g, text))
-                    text, g, s, number = text[order], g[order], s[order], number[order]
-                    new = np.ones(len(text), bool)
-                    new[1:] = (text[1:] != text[:-1]) | (g[1:] != g[:-1]) | (s[1:] != s[:-1])
-                    at = np.flatnonzero(new)
-                    n = np.diff(np.append(at, len(text)))
-                    if len(at):
-                        yield rows(kind, own[text[at]], target[a:b][text[at]], g[at], s[at], number[at], n)
-
-    # The number of a row lasts only from here to the sums of the same run.
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "text")
-    return numbered.mapInArrow(run, ASKS)
-
-
-def _sums(starts: np.ndarray, n: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """(2, rows): sums of `n`, and of `n` in the target, over the run of rows that each row is in."""
-    length = np.diff(np.append(starts, len(n)))
-    return np.stack([np.repeat(np.add.reduceat(x, starts), length) for x in (n, n * target)]).astype(np.float64)
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, difference): mean losses of each flagged document."""
+        def pairs(hashes, firsts):
+            return _bigrams(words_only.words(hashes), firsts).view(np.int64), _texts(firsts)
+
+        cuts.pairs = kept, _ = _frequent(_counted(docs, pairs), bigram_share)
+
+        def contexts(hashes, firsts):
+            words = words_only.words(hashes)
+            at = np.flatnonzero(_places(kept, _bigrams(words, firsts))[1])
+            return _contexts(words, firsts)[at].view(np.int64), _texts(firsts)[at]
+
+        cuts.before = _frequent(_counted(docs, contexts), 0)  # at most as many as kept bigrams
+    return cuts
+
+
+def _chunk_words(texts: pa.ChunkedArray, cuts: Cuts) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts of a chunk, and the words each text begins at (one entry more)."""
+    data, bounds = text_bytes(texts.combine_chunks())
+    words, firsts, n = [], [np.zeros(1, np.int64)], 0
+    for a, b in groups(bounds, 1 << 20):
+        hashes, begin = _hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+        words.append(cuts.words(hashes))
+        firsts.append(begin[1:] + n)
+        n += len(hashes)
+    return np.concatenate([np.zeros(0, np.uint64), *words]), np.concatenate(firsts)
+
+
+def _table(columns: list, schema: str) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.table({name: pa.array(x, types[kind], from_pandas=False) for x, (name, kind) in zip(columns, fields, strict=True)})
+
+
+def _sent(docs: DataFrame, cuts: Cuts, ranges: int) -> DataFrame:
+    """The distinct words and bigrams of each chunk with their counts, by ranges of their hashes."""
+
+    def run(chunk: pa.Table) -> pa.Table:
+        target = chunk["target"].to_numpy().astype(np.int64)
+        words, firsts = _chunk_words(chunk["text"], cuts)
+        text, has = _texts(firsts), np.flatnonzero(np.diff(firsts))
+        out = []
 
-    def answered(g, s, row, info, target_loss, background_loss):
-        kind, target, n, number = info & 7, (info >> 3) & 1, (info >> 4) & 0x7FFFFFFF, info >> 35
-        new = np.append(True, g[1:] != g[:-1])
-        sub = new | np.append(True, s[1:] != s[:-1])
-        of_g, of_s = (_sums(np.flatnonzero(x), n, target) for x in (new, sub))
-        back, goal = models.answers(kind, number, of_g, of_s) * n
-        is_document = (kind == DOCUMENT) | (kind == NO_ID)
-        return pa.RecordBatch.from_arrays(
+        def send(kind, keys, columns):
+            cut = np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
+            for r in np.flatnonzero(np.diff(cut)).tolist():
+                a, b = cut[r], cut[r + 1]
+                steps = np.diff(keys[a:b], prepend=np.uint64(0))
+                out.append((2 * r + kind, b - a, _packed([steps, *(x[a:b] for x in columns)])))
+
+        keys, at = np.unique(words, return_inverse=True)
+        last = at[firsts[1:][has] - 1]  # of each text that has words
+        send(
+            0,
+            keys,
             [
-                pa.array(row),
-                pa.array(s, mask=kind != DOCUMENT),
-                pa.array(n, mask=~is_document),
-                pa.array(goal + target_loss),
-                pa.array(back + background_loss),
+                np.bincount(at, minlength=len(keys)),
+                np.bincount(at, target[text], len(keys)),
+                np.bincount(last, minlength=len(keys)),
+                np.bincount(last, target[has], len(keys)),
             ],
-            names=[c.split()[0] for c in PARTS.split(", ")],
         )
+        if cuts.pairs is None:
+            keys, at = np.unique(_bigrams(words, firsts), return_inverse=True)
+            send(1, keys, [np.bincount(at, minlength=len(keys)), np.bincount(at, target[text], len(keys))])
+        number = chunk["chunk"][0].as_py()
+        return _table([[number] * len(out), *([x[k] for x in out] for k in range(3))], SENT)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [c.to_numpy() for c in batch.columns]
-            if held is not None:
-                now = [np.concatenate([x, y]) for x, y in zip(held, now, strict=True)]
-            first = int(np.searchsorted(now[0], now[0][-1]))  # the last group may go on
-            if first:
-                yield answered(*(x[:first] for x in now))
-            held = [x[first:] for x in now]
-        if held is not None:
-            yield answered(*held)
-
-    parts = _asked(docs, models).repartition("g").sortWithinPartitions("g", "s").mapInArrow(run, PARTS)
-    names = ("target_loss", "background_loss")
-    sums = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *(F.sum(c).alias(c) for c in names))
-    means = {c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")) for c in names}
-    return sums.withColumns(means).select("doc_id", "n_words", *names, (F.col(names[0]) - F.col(names[1])).alias("difference"))
+    return docs.select("chunk", "target", "text").groupBy("chunk").applyInArrow(run, SENT)
+
+
+def _answers(sent: DataFrame) -> DataFrame:
+    """For each chunk and range the counts of its n-grams in all chunks, in the order in which it sent them."""
+
+    def run(sent: pa.Table) -> pa.Table:
+        number = sent["range"][0].as_py()
+        columns = 3 if number & 1 else 5
+        sizes = sent["n"].to_numpy().astype(np.int64)
+        parts = [_unpacked(x.as_py(), columns, n) for x, n in zip(sent["body"], sizes.tolist(), strict=True)]
+        keys, at = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts]), return_inverse=True)
+        totals = [np.bincount(at, np.concatenate([x[k] for x in parts]), len(keys)).astype(np.int64) for k in range(1, columns)]
+        ends = np.cumsum(sizes)
+        bodies = [_packed([x[at[b - n : b]] for x in totals]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        sums = [0] * len(TOTALS) if number & 1 else [np.count_nonzero(keys != UNKNOWN), *(x.sum() for x in totals)]
+        once = [[int(x)] + [0] * (len(sizes) - 1) for x in sums]
+        return _table([sent["chunk"].to_numpy(), sent["range"].to_numpy(), sizes, bodies, *once], ANSWERS)
+
+    return sent.groupBy("range").applyInArrow(run, ANSWERS)
+
+
+def score(docs: DataFrame, chunks: int, cuts: Cuts, weight: float) -> DataFrame:
+    """(doc_id, n_words, target_loss, background_loss, difference): mean losses of each flagged document."""
+    answers = stored(_answers(_sent(docs, cuts, chunks)), "counts")
+    total = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS)).first()
+    below = np.array([[total.all_n], [total.all_t]], np.float64) + total.words + 1
+    starts = np.array([[total.texts_n], [total.texts_t]], np.float64)
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        words, firsts = _chunk_words(chunk["text"], cuts)
+        own = sorted(zip(*(answers[c].to_pylist() for c in ("range", "n", "body")), strict=True))
+
+        def counts(keys, kind):
+            of = 2 if kind else 4
+            found = np.concatenate([np.zeros((of, 0), np.uint64), *(_unpacked(body, of, n) for r, n, body in own if r & 1 == kind)], 1)
+            if found.shape[1] != len(keys):
+                raise RuntimeError(f"{len(keys)} n-grams of a chunk have {found.shape[1]} counts")
+            return found.astype(np.float64)
+
+        keys, at = np.unique(words, return_inverse=True)
+        found = counts(keys, 0)
+        chance = ((found[:2] + 1) / below)[:, at]
+        if cuts.pairs is None:
+            # A word is before another wherever it is not the last; every text with words has a start.
+            before = (found[:2] - found[2:])[:, np.roll(at, 1)]
+            before[:, _begins(firsts)] = starts
+            keys, at = np.unique(_bigrams(words, firsts), return_inverse=True)
+            seen = counts(keys, 1)[:, at]
+        else:
+            before = _looked_up(cuts.before, _contexts(words, firsts))
+            seen = _looked_up(cuts.pairs, _bigrams(words, firsts))
+        loss = np.log(before + weight) - np.log(seen + weight * chance)
+        text, n = _texts(firsts), np.diff(firsts)
+        back, goal = (np.bincount(text, x, len(n)) / np.maximum(n, 1) for x in loss)
+        means = [pa.array(x, mask=n == 0) for x in (goal, back, goal - back)]
+        return _table([chunk["doc_id"].combine_chunks(), n, *means], SCORES)
+
+    mine = answers.select("chunk", "range", "n", "body").groupBy("chunk")
+    return docs.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(mine).applyInArrow(run, SCORES)
 
 
 def cross_entropy_difference(
     docs: DataFrame, target_ids: DataFrame, word_share: float = 0.0, bigram_share: float = 0.0, weight: float = 50.0
 ) -> DataFrame:
     """Scores of all documents against the documents of `target_ids` (doc_id)."""
-    both = flagged(docs, target_ids)
-    return score(both, train(both, word_share, bigram_share, weight))
+    both, chunks = chunked(flagged(docs, target_ids))
+    return score(both, chunks, train(both, word_share, bigram_share), weight)

@@ -1,0 +1,58 @@
+"""Rare words and bigrams go to their counts and back without filling the disk."""
+
+import os
+import subprocess
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from tallyline.llm import lm_difference
+from tallyline.llm.storage import show_package
+from test_lm_difference import check, plain
+
+# A session of its own, since the disk of the shared one holds what other tests left.
+JOB = """
+import os, sys
+from pyspark.sql import functions as F
+from tallyline.llm import lm_difference
+from tallyline.llm.storage import show_package
+from tallyline.session import local_session
+
+root = sys.argv[1]
+spark = local_session("4", "2g", spark__local__dir=f"{root}/local", spark__checkpoint__dir=f"{root}/kept", spark__driver__host="127.0.0.1")
+show_package(spark)
+docs = spark.read.parquet(f"{root}/documents.parquet")
+found = lm_difference.cross_entropy_difference(docs, docs.where("doc_id % 4 = 0").select("doc_id"))
+assert found.agg(F.sum("n_words")).first()[0] == 2_000_000
+held = sum(os.path.getsize(f"{at}/{x}") for top in ("local", "kept") for at, _, names in os.walk(f"{root}/{top}") for x in names)
+print("held", held)
+spark.stop()
+"""
+
+
+def test_disk_of_rare_bigrams(tmp_path):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{x:x}" for x in row) for row in rng.integers(0, 50_000, (20_000, 100)).tolist()]
+    pq.write_table(pa.table({"doc_id": np.arange(len(texts)), "text": texts}), f"{tmp_path}/documents.parquet")
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([repo, os.environ.get("PYTHONPATH", "")])}
+    ran = subprocess.run([sys.executable, "-c", JOB, str(tmp_path)], env=env, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    held = int(ran.stdout.split("held ")[1].split()[0])
+    assert held < 4 * sum(map(len, texts)), held / sum(map(len, texts))
+
+
+@pytest.mark.parametrize("shares", [(0.0, 0.0), (0.0, 0.02), (0.03, 0.0)])
+@pytest.mark.parametrize("size", [1, 300, 1 << 20])
+def test_chunks_of_any_size_give_the_same(spark, monkeypatch, shares, size):
+    show_package(spark)
+    monkeypatch.setattr(lm_difference, "CHUNK", size)
+    rows = [(i % 19 or None, " ".join(f"w{(i * j * j) % (7 + j)}" for j in range(i % 13))) for i in range(60)]
+    rows += [(1, rows[1][1]), (3, None), (4, "z z z z"), (4, "z z z z"), (5, ""), (6, " ".join(f"v{i}" for i in range(400)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in range(1, 8)], "doc_id long")
+    got = lm_difference.cross_entropy_difference(docs, ids, *shares, 2.0).collect()
+    check(got, plain(rows, set(range(1, 8)), *shares, 2.0))

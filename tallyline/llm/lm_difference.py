@@ -10,8 +10,8 @@ and V different words,
 
     P(w) = (c(w) + 1) / (N + V + 1)        P(w | h) = (c(h, w) + m P(w)) / (c(h) + m)
 
-Documents go into chunks of about `CHUNK` bytes of text. A task sends each distinct word and bigram of a chunk
-once: its sorted 64-bit hashes, as differences, with their counts, packed into one value for each range of hashes. The
+Documents that follow each other make chunks of about `CHUNK` bytes of text. A task sends each distinct word and
+bigram of a chunk (of each part of it, where two tasks read it) once: its sorted 64-bit hashes, as differences, with their counts, packed into one value for each range of hashes. The
 owner of a range adds up all chunks and sends to each the whole counts of its n-grams, in the same order and so
 without the hashes; these meet the texts again, where the losses are. A frequent n-gram is sent once a chunk, like any
 other. Chunks and ranges grow in number, not in size.
@@ -26,6 +26,7 @@ all words. Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +39,10 @@ from tallyline.llm.storage import stored
 from tallyline.llm.text_arrays import LOWER, groups, mixed, range_hashes, text_bytes, word_bounds
 
 COUNTS = "key long, n long, t long"
-# The n-grams of a chunk in a range: `body` holds `n` entries. Even ranges are of words, odd ones of bigrams.
-SENT = "chunk int, range int, n int, body binary"
+NUMBERED = "chunk long, row long, doc_id long, target boolean, text string, size long"
+# The n-grams of a run of rows of a chunk, from the row `first` on, in a range: `body` holds `n` entries.
+# Even ranges are of words, odd ones of bigrams.
+SENT = "chunk long, first long, range int, n int, body binary"
 # The counts of these n-grams; and, once a range of words, what all of its words add up to.
 TOTALS = ("words", "all_n", "all_t", "texts_n", "texts_t")
 ANSWERS = SENT + "".join(f", {c} long" for c in TOTALS)
@@ -47,6 +50,8 @@ SCORES = "doc_id long, n_words long, target_loss double, background_loss double,
 BROADCAST_IDS = 2_000_000
 MERGE = 2_000_000
 CHUNK = 6 << 20
+# Chunks for each range of words and of bigrams: fewer words differ, and few entries in a body pack badly.
+PER_RANGE = (8, 2)
 # No n-gram is told apart by how frequent it is any more; a test still sets this.
 FREQUENT = 1e-6
 START, UNKNOWN, _BIGRAM = np.random.default_rng(7).integers(1, 1 << 63, 3, dtype=np.uint64)
@@ -183,12 +188,23 @@ def flagged(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
 
 
 def chunked(docs: DataFrame) -> tuple[DataFrame, int]:
-    """All flagged documents with the number of their chunk, and how many chunks there are."""
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    """All flagged documents with row numbers and the number of their chunk, and about how many chunks there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for batch in batches:
+            row = batch.column(0).to_numpy()
+            size = np.diff(text_bytes(batch.column(3))[1])
+            start = held + np.cumsum(size) - size
+            held += int(size.sum())
+            chunk = (row >> 33 << 33) + start // CHUNK  # the upper bits are the task's
+            columns = [pa.array(chunk), *batch.columns, pa.array(size)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in NUMBERED.split(", ")])
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "target", "text")
     # Rows keep their numbers once they are stored, whatever is run again.
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), "*", size.alias("size")), "documents")
-    chunks = 1 + (rows.agg(F.sum("size").alias("size")).first().size or 0) // CHUNK
-    return rows.select(F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "target", "text"), chunks
+    rows = stored(numbered.mapInArrow(run, NUMBERED), "documents")
+    return rows, 1 + (rows.agg(F.sum("size").alias("size")).first().size or 0) // CHUNK
 
 
 def train(docs: DataFrame, word_share: float, bigram_share: float) -> Cuts:
@@ -213,8 +229,8 @@ def train(docs: DataFrame, word_share: float, bigram_share: float) -> Cuts:
     return cuts
 
 
-def _chunk_words(texts: pa.ChunkedArray, cuts: Cuts) -> tuple[np.ndarray, np.ndarray]:
-    """The words of all texts of a chunk, and the words each text begins at (one entry more)."""
+def _all_words(texts: pa.ChunkedArray, cuts: Cuts) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts, and the words each text begins at (one entry more)."""
     data, bounds = text_bytes(texts.combine_chunks())
     words, firsts, n = [], [np.zeros(1, np.int64)], 0
     for a, b in groups(bounds, 1 << 20):
@@ -231,17 +247,22 @@ def _table(columns: list, schema: str) -> pa.Table:
     return pa.table({name: pa.array(x, types[kind], from_pandas=False) for x, (name, kind) in zip(columns, fields, strict=True)})
 
 
-def _sent(docs: DataFrame, cuts: Cuts, ranges: int) -> DataFrame:
-    """The distinct words and bigrams of each chunk with their counts, by ranges of their hashes."""
+def _sent(docs: DataFrame, cuts: Cuts, chunks: int) -> DataFrame:
+    """The distinct words and bigrams of each chunk with their counts, by ranges of their hashes.
+
+    A task may read a part of a chunk; each run of following rows is sent for itself.
+    """
 
-    def run(chunk: pa.Table) -> pa.Table:
-        target = chunk["target"].to_numpy().astype(np.int64)
-        words, firsts = _chunk_words(chunk["text"], cuts)
+    def packed(rows: pa.Table) -> pa.Table:
+        target = rows["target"].to_numpy().astype(np.int64)
+        words, firsts = _all_words(rows["text"], cuts)
         text, has = _texts(firsts), np.flatnonzero(np.diff(firsts))
         out = []
 
         def send(kind, keys, columns):
-            cut = np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
+            ranges = 1 + chunks // PER_RANGE[kind]
+            of = (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+            cut = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64))
             for r in np.flatnonzero(np.diff(cut)).tolist():
                 a, b = cut[r], cut[r + 1]
                 steps = np.diff(keys[a:b], prepend=np.uint64(0))
@@ -262,14 +283,30 @@ def _sent(docs: DataFrame, cuts: Cuts, ranges: int) -> DataFrame:
         if cuts.pairs is None:
             keys, at = np.unique(_bigrams(words, firsts), return_inverse=True)
             send(1, keys, [np.bincount(at, minlength=len(keys)), np.bincount(at, target[text], len(keys))])
-        number = chunk["chunk"][0].as_py()
-        return _table([[number] * len(out), *([x[k] for x in out] for k in range(3))], SENT)
+        own = [[rows[c][0].as_py()] * len(out) for c in ("chunk", "row")]
+        return _table([*own, *([x[k] for x in out] for k in range(3))], SENT)
 
-    return docs.select("chunk", "target", "text").groupBy("chunk").applyInArrow(run, SENT)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, after = [], None
+        for batch in batches:
+            chunk, row = (batch.column(k).to_numpy() for k in range(2))
+            ends = np.flatnonzero((np.diff(chunk) != 0) | (np.diff(row) != 1)) + 1
+            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(row)], strict=True):
+                if a == b:
+                    continue
+                if held and after != (chunk[a], row[a]):
+                    yield from packed(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                held.append(batch.slice(a, b - a))
+                after = (chunk[b - 1], row[b - 1] + 1)
+        if held:
+            yield from packed(pa.Table.from_batches(held)).to_batches()
+
+    return docs.select("chunk", "row", "target", "text").mapInArrow(run, SENT)
 
 
 def _answers(sent: DataFrame) -> DataFrame:
-    """For each chunk and range the counts of its n-grams in all chunks, in the order in which it sent them."""
+    """The counts in all documents of the n-grams that were sent, in the order in which they were."""
 
     def run(sent: pa.Table) -> pa.Table:
         number = sent["range"][0].as_py()
@@ -282,7 +319,7 @@ def _answers(sent: DataFrame) -> DataFrame:
         bodies = [_packed([x[at[b - n : b]] for x in totals]) for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
         sums = [0] * len(TOTALS) if number & 1 else [np.count_nonzero(keys != UNKNOWN), *(x.sum() for x in totals)]
         once = [[int(x)] + [0] * (len(sizes) - 1) for x in sums]
-        return _table([sent["chunk"].to_numpy(), sent["range"].to_numpy(), sizes, bodies, *once], ANSWERS)
+        return _table([*(sent[c].to_numpy() for c in ("chunk", "first", "range")), sizes, bodies, *once], ANSWERS)
 
     return sent.groupBy("range").applyInArrow(run, ANSWERS)
 
@@ -294,15 +331,14 @@ def score(docs: DataFrame, chunks: int, cuts: Cuts, weight: float) -> DataFrame:
     below = np.array([[total.all_n], [total.all_t]], np.float64) + total.words + 1
     starts = np.array([[total.texts_n], [total.texts_t]], np.float64)
 
-    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        words, firsts = _chunk_words(chunk["text"], cuts)
-        own = sorted(zip(*(answers[c].to_pylist() for c in ("range", "n", "body")), strict=True))
+    def scored(rows: pa.Table, own: list[tuple]) -> pa.Table:
+        words, firsts = _all_words(rows["text"], cuts)
 
         def counts(keys, kind):
             of = 2 if kind else 4
             found = np.concatenate([np.zeros((of, 0), np.uint64), *(_unpacked(body, of, n) for r, n, body in own if r & 1 == kind)], 1)
             if found.shape[1] != len(keys):
-                raise RuntimeError(f"{len(keys)} n-grams of a chunk have {found.shape[1]} counts")
+                raise RuntimeError(f"{len(keys)} n-grams have {found.shape[1]} counts")
             return found.astype(np.float64)
 
         keys, at = np.unique(words, return_inverse=True)
@@ -321,10 +357,18 @@ def score(docs: DataFrame, chunks: int, cuts: Cuts, weight: float) -> DataFrame:
         text, n = _texts(firsts), np.diff(firsts)
         back, goal = (np.bincount(text, x, len(n)) / np.maximum(n, 1) for x in loss)
         means = [pa.array(x, mask=n == 0) for x in (goal, back, goal - back)]
-        return _table([chunk["doc_id"].combine_chunks(), n, *means], SCORES)
+        return _table([rows["doc_id"].combine_chunks(), n, *means], SCORES)
 
-    mine = answers.select("chunk", "range", "n", "body").groupBy("chunk")
-    return docs.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(mine).applyInArrow(run, SCORES)
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        own = defaultdict(list)
+        for first, *rest in sorted(zip(*(answers[c].to_pylist() for c in ("first", "range", "n", "body")), strict=True)):
+            own[first].append(rest)
+        firsts = np.array([-1, *own])  # rows before the first have no words
+        part = firsts[np.searchsorted(firsts, chunk["row"].to_numpy(), "right") - 1]
+        return pa.concat_tables([scored(chunk.filter(pa.array(part == x)), own[x]) for x in np.unique(part).tolist()])
+
+    mine = answers.select("chunk", "first", "range", "n", "body").groupBy("chunk")
+    return docs.select("chunk", "row", "doc_id", "text").groupBy("chunk").cogroup(mine).applyInArrow(run, SCORES)
 
 
 def cross_entropy_difference(

@@ -50,6 +50,7 @@ SCORES = "doc_id long, n_words long, target_loss double, background_loss double,
 BROADCAST_IDS = 2_000_000
 MERGE = 2_000_000
 CHUNK = 6 << 20
+ROW = 32  # bytes that a row counts besides its text, so that empty ones fill chunks, too
 # Chunks for each range of words and of bigrams: fewer words differ, and few entries in a body pack badly.
 PER_RANGE = (8, 2)
 # No n-gram is told apart by how frequent it is any more; a test still sets this.
@@ -194,7 +195,7 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, int]:
         held = 0
         for batch in batches:
             row = batch.column(0).to_numpy()
-            size = np.diff(text_bytes(batch.column(3))[1])
+            size = np.diff(text_bytes(batch.column(3))[1]) + ROW
             start = held + np.cumsum(size) - size
             held += int(size.sum())
             chunk = (row >> 33 << 33) + start // CHUNK  # the upper bits are the task's

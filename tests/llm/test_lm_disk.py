@@ -69,3 +69,11 @@ def test_chunks_that_several_tasks_read(spark, monkeypatch, parts):
     for cut in (both.repartitionByRange(parts, "row").sortWithinPartitions("row"), both.repartition(parts, "doc_id")):
         cut = cut.localCheckpoint()
         check(lm_difference.score(cut, chunks, lm_difference.Cuts(), 2.0).collect(), plain(rows, set(range(9)), 0.0, 0.0, 2.0))
+
+
+def test_empty_texts_fill_chunks(spark, monkeypatch):
+    show_package(spark)
+    monkeypatch.setattr(lm_difference, "CHUNK", 320)
+    docs = spark.createDataFrame([(None, None)] * 500 + [(1, "")] * 500, "doc_id long, text string").coalesce(1)
+    both, _ = lm_difference.chunked(lm_difference.flagged(docs, docs.select("doc_id")))
+    assert max(r["count"] for r in both.groupBy("chunk").count().collect()) == 10

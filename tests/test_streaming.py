@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.operators.apply import canonical_events
+from tallyline.operators.envelope import parse_messages
 from tallyline.plans import derived as D
 from tallyline.plans import jobs
 from tallyline.plans.state import LedgerState
@@ -107,3 +109,13 @@ def test_keyed_state_is_kept_on_disk(spark, inbox, tmp_path):
     latest.start_keyed_latest(file_stream(spark, inbox), state, str(tmp_path / "progress")).awaitTermination()
     assert spark.conf.get(setting, None) == before
     assert "RocksDBStateStoreProvider" in (tmp_path / "progress" / "offsets" / "0").read_text()
+
+
+def test_parsing_is_compiled_and_not_interpreted(spark, inbox):
+    """The JVM compiles no method of over 8,000 bytes of code."""
+    valid = parse_messages(read_messages(spark, inbox)).valid()
+    plan = canonical_events(valid)._jdf.queryExecution().executedPlan()
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
+    assert sizes and max(sizes) < 8000

@@ -43,6 +43,7 @@ from tallyline.schemas import (
     RESULTS,
     RUNS,
 )
+from tallyline.session import settings
 
 # Offsets per partition folder of the append-only tables: pruning on ``band``
 # keeps readers away from history they have already processed.
@@ -72,6 +73,16 @@ _JOURNAL = T.StructType(
 # The order of pages of one pair's results; together the columns identify one.
 RESULT_ORDER = [("transaction_id", False), ("currency", False), ("left_source_system", False), ("right_source_system", False)]
 _POSITIONED = {"raw_cdc_events": RAW_EVENTS, "cdc_dead_letters": DEAD_LETTERS}
+# How rows are written. Jobs read them whole, so variants stay in one piece; and columns in which hardly
+# a value comes twice fill a dictionary first that is then given up.
+_WHOLE = {"spark.sql.variant.writeShredding.enabled": "false"}
+_DISTINCT = (
+    "kafka_offset", "event_timestamp", "kafka_timestamp", "source_timestamp", "source_lsn", "source_tx_id",
+    *[f"{c}.{part}" for c in ("record_key", "before_payload", "after_payload", "payload") for part in ("value", "metadata")],
+    "source_record_id", "transaction_id", "amount", "last_kafka_offset", "last_source_lsn", "last_cdc_event_timestamp",
+    "source_payload", "left_amount", "right_amount",
+)
+WRITTEN = {f"parquet.enable.dictionary#{column}": "false" for column in _DISTINCT}
 CURRENCIES = T.StructType(
     [T.StructField("currency", T.StringType()), T.StructField("enabled", T.BooleanType())]
 )
@@ -185,7 +196,7 @@ class LedgerState:
             # Rebalancing sizes the files: small buckets share a task, large
             # ones are divided.
             writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
-        writer.parquet(self.folder(table, commit))
+        writer.options(**WRITTEN).parquet(self.folder(table, commit))
 
     def staged(self, table: str, commit: int) -> DataFrame:
         """A folder of an unpublished commit, written by the running job."""
@@ -207,6 +218,7 @@ class LedgerState:
             .write.mode("overwrite")
             .bucketBy(self.buckets, *LEDGER_KEY)
             .sortBy(*LEDGER_KEY)
+            .options(**WRITTEN)
             .option("path", self.folder("ledger_base", commit))
             .saveAsTable(self._base_table(commit), format="parquet")
         )
@@ -289,9 +301,10 @@ class LedgerState:
         if not self.spark.catalog.tableExists(name):
             columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in _POSITIONED[table].fields]
             by = ", ".join((*PARTITION_KEY, "band"))
+            options = ", ".join(f"'{k}' '{v}'" for k, v in WRITTEN.items())
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}, band bigint) "
-                f"USING parquet PARTITIONED BY ({by}) LOCATION '{_quoted(f"{self.root}/{table}")}'"
+                f"USING parquet OPTIONS ({options}) PARTITIONED BY ({by}) LOCATION '{_quoted(f"{self.root}/{table}")}'"
             )
         return name
 
@@ -373,7 +386,8 @@ class LedgerState:
         if staged:
             folders = {table: f"{self.root}/ingest_rows/{table}" for table in batch}
             for table, rows in batch.items():
-                rows.select(*_POSITIONED[table].names).write.mode("overwrite").parquet(folders[table])
+                with settings(rows.sparkSession, _WHOLE):
+                    rows.select(*_POSITIONED[table].names).write.mode("overwrite").options(**WRITTEN).parquet(folders[table])
             batch = {t: self.spark.read.schema(_POSITIONED[t]).parquet(folder) for t, folder in folders.items()}
         begun = self._begin(*batch.values())
         if begun is not None:
@@ -446,7 +460,8 @@ class LedgerState:
             # The comparison left the rows of a band in many tasks.
             placed = placed.hint("rebalance", *PARTITION_KEY, "band").sortWithinPartitions(*PARTITION_KEY, "kafka_offset")
         name = self.events_table(table)
-        placed.select(*self.spark.table(name).columns).write.insertInto(name)
+        with settings(rows.sparkSession, _WHOLE):
+            placed.select(*self.spark.table(name).columns).write.insertInto(name)
 
     def _end(self, begun: Journal, spans: list[tuple], ranges: DataFrame) -> None:
         """Add the ranges of rows that are stored in full, which span ``spans``, and close
